@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codeloom.functions.probability import bind
 from codeloom.functions.text import float_text, normalized
 
 # Code texts that mean "no answer".
@@ -120,12 +121,11 @@ def key_part(df: DataFrame, name: str) -> Column:
     if name not in df.columns:
         return F.lit(MISSING)
     if df.schema[name].dataType.typeName() == "string":
-        text = normalized(df, name)
-        return F.when(text == "", F.lit(MISSING)).otherwise(text)
+        return bind(normalized(df, name), lambda text: F.when(text == "", F.lit(MISSING)).otherwise(text))
     return code_or_missing(df, name)
 
 
 def composite_key(df: DataFrame, names: Sequence[str]) -> Column:
     """Key parts joined with ``||``; null when every part is MISSING."""
-    key = F.concat_ws("||", *[key_part(df, name) for name in names])
-    return F.when(key != "||".join([MISSING] * len(names)), key)
+    blank = "||".join([MISSING] * len(names))
+    return bind(F.concat_ws("||", *[key_part(df, name) for name in names]), lambda key: F.when(key != blank, key))

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codeloom.functions.probability import bind
+
 # Abbreviations and their expansions, applied in this order as whole words.
 ABBREVIATIONS = (
     ("asst", "assistant"),
@@ -34,6 +36,8 @@ ABBREVIATIONS = (
     ("a+", "a plus"),
 )
 
+KEPT_CHARACTER = r"[a-z0-9+#/\-]"
+
 EMPTY_DOC = "__EMPTY__"
 FIELD_SEPARATOR = " | "
 
@@ -46,11 +50,16 @@ ANY_ABBREVIATION = "|".join(abbreviation_pattern(short) for short, _ in ABBREVIA
 
 
 def expand_abbreviations(text: Column) -> Column:
-    """Rewrite whole-word abbreviations. Texts without any skip the whole chain of rewrites."""
-    expanded = text
-    for short, full in ABBREVIATIONS:
-        expanded = F.regexp_replace(expanded, abbreviation_pattern(short), full)
-    return F.when(text.rlike(ANY_ABBREVIATION), expanded).otherwise(text)
+    """Rewrite whole-word abbreviations. Texts without any skip the whole chain of rewrites.
+
+    The chain sits inside a lambda, which keeps the generated code small however many fields are normalised
+    in one projection; written out per field it would pass the JVM's method size limit.
+    """
+    def chain(one: Column) -> Column:
+        for short, full in ABBREVIATIONS:
+            one = F.regexp_replace(one, abbreviation_pattern(short), full)
+        return one
+    return F.when(text.rlike(ANY_ABBREVIATION), bind(text, chain)).otherwise(text)
 
 
 def normalize_text(text: Column) -> Column:
@@ -100,29 +109,33 @@ def text_present(df: DataFrame, names: Sequence[str]) -> Column:
     present = F.lit(False)
     for name in names:
         if name in df.columns:
-            present = present | (F.length(normalized(df, name)) > 0)
+            present = present | F.coalesce(F.lower(raw_text(df, name)).rlike(KEPT_CHARACTER), F.lit(False))
     return present
 
 
+def with_lead(text: Column, lead: str) -> Column:
+    """Text after a fixed lead; null when there is no text."""
+    return bind(text, lambda t: F.when(t != "", F.concat(F.lit(lead), t)))
+
+
 def build_document(df: DataFrame, names: Sequence[str], prefixes: Mapping[str, str]) -> Column:
     """Prefixed, normalised fields joined with `` | ``; ``__EMPTY__`` when no field has text."""
     parts = []
     for name in names:
         if name not in df.columns:
             continue
-        text = normalized(df, name)
         prefix = prefixes.get(name, "")
-        parts.append(F.when(text != "", F.concat(F.lit(f"{prefix} " if prefix else ""), text)))
+        lead = f"{prefix} " if prefix else ""
+        parts.append(with_lead(normalized(df, name), lead))
     if not parts:
         return F.lit(EMPTY_DOC)
-    joined = F.concat_ws(FIELD_SEPARATOR, *parts)
-    return F.when(joined == "", F.lit(EMPTY_DOC)).otherwise(joined)
+    return bind(F.concat_ws(FIELD_SEPARATOR, *parts), lambda doc: F.when(doc == "", F.lit(EMPTY_DOC)).otherwise(doc))
 
 
 def review_context(df: DataFrame, names: Sequence[str], max_chars: int = 3000) -> Column:
     """``column: text`` lines for a reviewer. The length limit is part of the review format."""
     parts = [
-        F.when(normalized(df, name) != "", F.concat(F.lit(f"{name}: "), normalized(df, name)))
+        with_lead(normalized(df, name), f"{name}: ")
         for name in names if name in df.columns
     ]
     if not parts:

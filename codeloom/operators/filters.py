@@ -114,3 +114,11 @@ def stratified_folds(rows: DataFrame, folds: int, seed: int, label: str = "label
         .withColumn("fold", F.pmod(F.col("_before") + F.col("_pos") - 1, F.lit(folds)).cast("int"))
         .drop("_ticket", "_slice", "_pos", "_before")
     )
+
+
+def with_folds(counts: DataFrame, requested: int) -> DataFrame:
+    """Class counts with the number of folds that the smallest class allows (0 when it has one row)."""
+    whole = Window.partitionBy(F.lit(0))  # one row per class
+    smallest = F.min("n").over(whole)
+    folds = F.when(smallest < 2, F.lit(0)).otherwise(F.greatest(F.lit(2), F.least(F.lit(requested), smallest)))
+    return counts.withColumn("folds", folds.cast("bigint"))
