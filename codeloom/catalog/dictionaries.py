@@ -160,8 +160,8 @@ TITLE_LOOKUP = f"""
 TITLE_VIEWS = {**DICT_VIEWS, "title_lookup_v": TITLE_LOOKUP}
 
 
-def looked_up_titles(t: Tables) -> DataFrame:
-    entries = stage(title_dictionary(t), "titles")
+def looked_up_titles(t: Tables, entries: DataFrame | None = None) -> DataFrame:
+    entries = stage(title_dictionary(t), "titles") if entries is None else entries
     return dictionary.lookup_title(t.survey, entries, "qe4", "qa20a", PURITY, MIN_COUNT, TOPK)
 
 
@@ -211,8 +211,9 @@ FUZZY_VIEWS = {
     from {{title_lookup_v}} o left join {{fuzzy_open_v}} q on o.id = q.id
     left join {{fuzzy_best_v}} f on q.bucket = f.bucket and q.title = f.query""", FUZZY_VIEWS)
 def fuzzy_match(t: Tables) -> DataFrame:
-    open_rows = looked_up_titles(t)
-    entries = fuzzy.fuzzy_entries(title_dictionary(t), MIN_COUNT, PURITY)
+    learned = stage(title_dictionary(t), "titles")
+    open_rows = looked_up_titles(t, learned)
+    entries = fuzzy.fuzzy_entries(learned, MIN_COUNT, PURITY)
     matched = fuzzy.fuzzy_lookup(open_rows, entries, FUZZY_THRESHOLD, TOPK)
     return flat_decision(matched.withColumn("similarity", F.round("similarity", 6)), "title", "naics", "similarity", "matched_title")
 

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
 from codeloom.catalog.views import VIEWS
+from codeloom.sources.survey import spread_input
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# tables that grow with the data, and the column that identifies their rows
+LARGE = {"orders": "o_orderkey", "lineitem": "l_orderkey", "documents": "doc_id", "embeddings": "vec_id"}
+
 
 def references(template: str) -> list[str]:
     return sorted({name for _, name, _, _ in Formatter().parse(template) if name})
@@ -24,13 +28,18 @@ class Tables:
 
     spark: SparkSession
     folder: str
+    opened: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name in VIEWS:
-            return self.sql(VIEWS[name])
-        raise AttributeError(name)
+        if name not in TABLES and name not in VIEWS:
+            raise AttributeError(name)
+        if name not in self.opened:
+            self.opened[name] = self.table(name) if name in TABLES else self.sql(VIEWS[name])
+        return self.opened[name]
+
+    def table(self, name: str) -> DataFrame:
+        scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread_input(scan, LARGE[name]) if name in LARGE else scan
 
     def sql(self, template: str) -> DataFrame:
         """Run SQL whose ``{name}`` fields are tables or views."""

@@ -161,7 +161,7 @@ def composite_key(t: Tables) -> DataFrame:
 def softmax_scores(t: Tables) -> DataFrame:
     score = F.col("w1") / 10.0
     rows = t.line_weights.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("code", score.alias("s")))).alias("e"))
-    spread = rows.select("id", F.explode(F.arrays_zip(
+    spread = rows.select("id", F.explode_outer(F.arrays_zip(
         F.col("e.code").alias("code"), F.col("e.s").alias("s"), probability.softmax(F.col("e.s")).alias("p"))).alias("z"))
     return spread.select("id", "z.code", F.round("z.p", 6).alias("p"), F.round(probability.sigmoid(F.col("z.s")), 6).alias("p_binary"))
 

@@ -4,7 +4,7 @@
 """
 
 VIEWS = {
-    # One response per order: dirty titles, employers, coded answers and partly missing target codes.
+    # One response per order with lines: dirty titles, employers, coded answers and partly missing target codes.
     "survey": """
         select cast(o.o_orderkey as bigint) as id,
           case o.o_orderkey % 6
@@ -38,14 +38,12 @@ VIEWS = {
           case when o.o_orderkey % 4 = 1 then null
                when o.o_orderkey % 28 = 3 then cast(431000 + q.p_partkey % 50 as double)
                else cast((11 + 2 * (ascii(q.p_name) % 23)) * 10000 + 1000 + 10 * length(q.p_name) as double) end as qe5ar
-        from (select o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
-                     (o_custkey * 31 + o_orderkey) % (select count(*) from {part}) as part_no,
-                     (o_custkey * 7 + o_orderkey * 3) % (select count(*) from {part}) as other_part_no,
-                     o_custkey % (select count(*) from {supplier}) as supplier_no
-              from {orders}) o
-        join {part} p on p.p_partkey = o.part_no
-        join {part} q on q.p_partkey = o.other_part_no
-        join {supplier} s on s.s_suppkey = o.supplier_no
+        from {orders} o
+        join (select l_orderkey, min(l_partkey) as part_no, max(l_partkey) as other_part_no, min(l_suppkey) as supplier_no
+              from {lineitem} group by l_orderkey) l on l.l_orderkey = o.o_orderkey
+        join {part} p on p.p_partkey = l.part_no
+        join {part} q on q.p_partkey = l.other_part_no
+        join {supplier} s on s.s_suppkey = l.supplier_no
         join {customer} c on c.c_custkey = o.o_custkey
     """,
     # Codes as they arrive from files: padded, blank, with decimals, with suffixes, or numeric.

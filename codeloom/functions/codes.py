@@ -125,7 +125,11 @@ def key_part(df: DataFrame, name: str) -> Column:
     return code_or_missing(df, name)
 
 
-def composite_key(df: DataFrame, names: Sequence[str]) -> Column:
+def join_key(parts: Sequence[Column]) -> Column:
     """Key parts joined with ``||``; null when every part is MISSING."""
-    blank = "||".join([MISSING] * len(names))
-    return bind(F.concat_ws("||", *[key_part(df, name) for name in names]), lambda key: F.when(key != blank, key))
+    blank = "||".join([MISSING] * len(parts))
+    return bind(F.concat_ws("||", *parts), lambda key: F.when(key != blank, key))
+
+
+def composite_key(df: DataFrame, names: Sequence[str]) -> Column:
+    return join_key([key_part(df, name) for name in names])

@@ -46,26 +46,29 @@ def abbreviation_pattern(short: str) -> str:
     return r"\b" + short.replace("+", r"\+") + r"\b"
 
 
-ANY_ABBREVIATION = "|".join(abbreviation_pattern(short) for short, _ in ABBREVIATIONS)
+ANY_ABBREVIATION = r"\b(?:" + "|".join(short for short, _ in ABBREVIATIONS if short != "a+") + r")\b|\ba\+\b"
+
+
+WORD_EXPANSIONS = ",".join(f"{short}:{full}" for short, full in ABBREVIATIONS if short != "a+")
+PLUS_PATTERN = abbreviation_pattern("a+")
 
 
 def expand_abbreviations(text: Column) -> Column:
-    """Rewrite whole-word abbreviations. Texts without any skip the whole chain of rewrites.
+    """Rewrite whole-word abbreviations; texts without any are passed through.
 
-    The chain sits inside a lambda, which keeps the generated code small however many fields are normalised
-    in one projection; written out per field it would pass the JVM's method size limit.
+    No expansion contains another abbreviation, so one pass over the words gives what the ordered rewrites
+    give. ``a+`` is not a word: it is rewritten where a word follows it directly.
     """
-    def chain(one: Column) -> Column:
-        for short, full in ABBREVIATIONS:
-            one = F.regexp_replace(one, abbreviation_pattern(short), full)
-        return one
-    return F.when(text.rlike(ANY_ABBREVIATION), bind(text, chain)).otherwise(text)
+    table = F.str_to_map(F.lit(WORD_EXPANSIONS), F.lit(","), F.lit(":"))
+    tokens = F.regexp_extract_all(text, F.lit(r"\w+|\W+"), F.lit(0))
+    expanded = F.array_join(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(table, t), t)), "")
+    return F.when(text.rlike(ANY_ABBREVIATION), F.regexp_replace(expanded, PLUS_PATTERN, "a plus")).otherwise(text)
 
 
 def normalize_text(text: Column) -> Column:
     """Lower-case, keep ``a-z 0-9 + # / -``, squeeze the rest to single spaces, expand abbreviations."""
     squeezed = F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9+#/\-]+", " "))
-    return F.coalesce(expand_abbreviations(squeezed), F.lit(""))
+    return F.coalesce(bind(squeezed, expand_abbreviations), F.lit(""))
 
 
 def float_text(value: Column) -> Column:

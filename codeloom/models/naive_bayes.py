@@ -57,7 +57,7 @@ class ComplementModel:
     def proba(self, features: DataFrame, groups: DataFrame, broadcast: bool | None = None) -> DataFrame:
         """(id, grp, code, prob) for every class of the row's models."""
         scored = self.scores(features, groups, broadcast)
-        return scored.select("id", "grp", F.explode(F.arrays_zip(
+        return scored.select("id", "grp", F.explode_outer(F.arrays_zip(
             F.col("codes").alias("code"), softmax(F.col("scores")).alias("prob"))).alias("e")).select(
             "id", "grp", F.col("e.code").alias("code"), F.col("e.prob").alias("prob"))
 
@@ -68,7 +68,7 @@ class ComplementModel:
             F.arrays_zip(F.col("codes").alias("code"), softmax(F.col("scores")).alias("prob")),
             lambda e: F.struct((-F.round(e["prob"], 12)).alias("order"), e["code"].alias("code"), e["prob"].alias("prob")))
         best = F.slice(F.array_sort(entries), 1, k)
-        return scored.select("id", "grp", F.explode(best).alias("e")).select(
+        return scored.select("id", "grp", F.explode_outer(best).alias("e")).select(
             "id", "grp", F.col("e.code").alias("code"), F.col("e.prob").alias("prob"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeloom.functions.codes import MISSING, MISSING_CODES, code_or_missing, composite_key
+from codeloom.functions.codes import MISSING, MISSING_CODES, code_or_missing, join_key, key_part
 from codeloom.functions.text import normalized
 from codeloom.operators.lookup import fits_broadcast, lookup_join
 
@@ -47,13 +47,25 @@ def summarize_labels(counts: DataFrame, keys: Sequence[str], min_count: int) ->
     )
 
 
+def with_keys(df: DataFrame, specs: KeySpecs) -> tuple[DataFrame, list[tuple[int, str, Column]]]:
+    """Add each source column's key part once, and return the (number, name, key) of every usable spec."""
+    present = [(no, name, cols) for no, (name, cols) in enumerate(specs) if all(c in df.columns for c in cols)]
+    sources = sorted({c for _, _, cols in present for c in cols})
+    parts = df.withColumns({f"_part_{c}": key_part(df, c) for c in sources}) if sources else df
+    return parts, [(no, name, join_key([F.col(f"_part_{c}") for c in cols])) for no, name, cols in present]
+
+
 def keyed_labels(df: DataFrame, label: Column, specs: KeySpecs) -> DataFrame:
-    """(spec, key, label) rows for every key spec whose columns exist; all-MISSING keys are dropped."""
-    present = [(name, cols) for name, cols in specs if all(c in df.columns for c in cols)]
-    keys = F.array(*[F.struct(F.lit(name).alias("spec"), composite_key(df, cols).alias("key")) for name, cols in present])
+    """(spec, key, label) rows for every key spec whose columns exist; all-MISSING keys are dropped.
+
+    ``explode_outer`` on the never-empty array keeps the optimizer from adding a size filter that would
+    compute every key a second time.
+    """
     usable = label.isNotNull() & ~label.isin(*MISSING_CODES)
+    parts, keyed = with_keys(df.filter(usable), specs)
+    keys = F.array(*[F.struct(F.lit(name).alias("spec"), key.alias("key")) for _, name, key in keyed])
     return (
-        df.filter(usable).select(label.alias("label"), F.explode(keys).alias("entry"))
+        parts.select(label.alias("label"), F.explode_outer(keys).alias("entry"))
         .select("entry.spec", "entry.key", "label").filter(F.col("key").isNotNull())
     )
 
@@ -90,23 +102,22 @@ def lookup_cascade(
     is probed by one salted join on slim (id, spec, key) rows.
     """
     usable = dictionary.filter((F.col("n") >= min_count) & (F.col("top_prob") >= purity))
-    present = [(no, name, cols) for no, (name, cols) in enumerate(specs) if all(c in df.columns for c in cols)]
-    if not present:
+    parts, keyed = with_keys(df, specs)
+    if not keyed:
         missing = F.lit(None).cast(dictionary.select(F.struct(*ENTRY).alias("e")).schema["e"].dataType)
         return df.select("*", *_decision(missing, topk))
     small = fits_broadcast(usable) if broadcast is None else broadcast
     if small:
-        probed = df.select("*", *[composite_key(df, cols).alias(f"_key{no}") for no, _, cols in present])
-        for no, name, _ in present:
+        probed = parts.withColumns({f"_key{no}": key for no, _, key in keyed})
+        for no, name, _ in keyed:
             entries = usable.filter(F.col("spec") == name).select(
                 F.col("key").alias(f"_key{no}"), F.struct(*ENTRY).alias(f"_entry{no}"))
             probed = probed.join(F.broadcast(entries), f"_key{no}", "left")
-        first = F.coalesce(*[F.col(f"_entry{no}") for no, _, _ in present])
+        first = F.coalesce(*[F.col(f"_entry{no}") for no, _, _ in keyed])
         return probed.select(*[F.col(c) for c in df.columns], *_decision(first, topk))
     keys = F.array(*[
-        F.struct(F.lit(no).alias("no"), F.lit(name).alias("spec"), composite_key(df, cols).alias("key"))
-        for no, name, cols in present])
-    probes = df.select(id_col, F.explode(keys).alias("k")).select(id_col, "k.*").filter(F.col("key").isNotNull())
+        F.struct(F.lit(no).alias("no"), F.lit(name).alias("spec"), key.alias("key")) for no, name, key in keyed])
+    probes = parts.select(id_col, F.explode_outer(keys).alias("k")).select(id_col, "k.*").filter(F.col("key").isNotNull())
     hits = lookup_join(probes, usable.select("spec", "key", F.struct(*ENTRY).alias("entry")),
                        ("spec", "key"), spread=id_col, how="inner", broadcast=False)
     first = hits.groupBy(id_col).agg(F.min_by("entry", "no").alias("_entry"))

@@ -49,7 +49,7 @@ def char_terms(doc: Column) -> Column:
 def term_counts(docs: DataFrame, terms: Column) -> DataFrame:
     """(id, term, tf, copies) from (id, doc, copies): how often each term occurs in each document."""
     return (
-        docs.select("id", "copies", F.explode(terms).alias("term"))
+        docs.select("id", "copies", F.explode_outer(terms).alias("term")).filter(F.col("term").isNotNull())
         .groupBy("id", "term").agg(F.count("*").alias("tf"), F.max("copies").alias("copies"))
     )
 
@@ -81,7 +81,7 @@ def category_terms(df: DataFrame, names: Sequence[str], id_col: str = "id") -> D
     values = [F.concat(F.lit(f"{name}="), code_or_missing(df, name)) for name in names]
     if not values:
         return df.select(id_col, F.lit("").alias("term"), F.lit(1.0).alias("weight")).filter(F.lit(False))
-    return df.select(F.col(id_col).alias("id"), F.explode(F.array(*values)).alias("term"), F.lit(1.0).alias("weight"))
+    return df.select(F.col(id_col).alias("id"), F.explode_outer(F.array(*values)).alias("term"), F.lit(1.0).alias("weight"))
 
 
 @dataclass(frozen=True)
@@ -230,7 +230,7 @@ class FeaturePlan:
         if not self.scales:
             return answers.select("id", F.lit("").alias("term"), F.lit(0.0).alias("weight")).filter(F.lit(False))
         pairs = F.array(*[F.struct(F.lit(NUMBER + s.name).alias("term"), scaled(answers, s).alias("weight")) for s in self.scales])
-        return answers.select("id", F.explode(pairs).alias("p")).select("id", "p.term", "p.weight")
+        return answers.select("id", F.explode_outer(pairs).alias("p")).select("id", "p.term", "p.weight")
 
     def all_blocks(self, answers: DataFrame) -> DataFrame:
         return self.nonnegative(answers).unionByName(self.numbers(answers))

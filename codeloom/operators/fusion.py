@@ -21,7 +21,7 @@ def align_classes(proba: DataFrame, classes: list[str], id_col: str = "id") -> D
     values = F.transform(expected, lambda c: F.coalesce(F.get(F.array(F.try_element_at("given", c)), F.lit(0)), F.lit(0.0)))
     normal = bind(values, lambda v: bind(array_total(v), lambda total: F.transform(
         v, lambda p: F.when(total > 0, p / total).otherwise(F.lit(1.0 / max(1, len(classes)))))))
-    return known.select(id_col, F.explode(F.arrays_zip(expected.alias("code"), normal.alias("prob"))).alias("e")).select(
+    return known.select(id_col, F.explode_outer(F.arrays_zip(expected.alias("code"), normal.alias("prob"))).alias("e")).select(
         id_col, F.col("e.code").alias("code"), F.col("e.prob").alias("prob"))
 
 

@@ -80,7 +80,7 @@ def promote(ranked: DataFrame, choices: DataFrame, confidence: float, k: int, id
     reordered = F.concat(F.array("chosen"), others)
     old_codes = F.transform("old", lambda e: e["code"])
     new = F.when(F.col("chosen").isNull(), old_codes).otherwise(F.slice(reordered, 1, k))
-    positions = joined.select(id_col, "chosen", "old", F.posexplode(new).alias("pos", "code"))
+    positions = joined.select(id_col, "chosen", "old", F.posexplode_outer(new).alias("pos", "code"))
     old_prob = F.coalesce(F.get("old", F.col("pos"))["prob"], F.lit(0.0))
     prob = (
         F.when(F.col("chosen").isNull(), old_prob).when(F.col("pos") == 0, F.lit(confidence))

@@ -30,6 +30,16 @@ def read_survey(
     return attach_labels(reader.load(path), labels or {})
 
 
+def spread_input(df: DataFrame, key: str) -> DataFrame:
+    """Spread a file scan over all cores when its files give fewer tasks than there are cores.
+
+    Concerns small or unsplittable files; a large scan already has more splits and is left as it is. The
+    split is by a hash of ``key``, so a re-run task sees the same rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def attach_labels(df: DataFrame, labels: Mapping[str, Mapping]) -> DataFrame:
     """Put label, value labels, missing ranges and the like on the columns' metadata."""
     return df.select(*[
