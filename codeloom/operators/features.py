@@ -149,6 +149,14 @@ def indexed_vectors(weights: DataFrame, slots: DataFrame, size: int, broadcast:
     return _pack(joined.select("id", "slot", F.col("weight").alias("v")), size)
 
 
+def slot_table(weights: DataFrame) -> DataFrame:
+    """(term, slot) for all terms of a feature table. The vocabulary caps bound it to a few hundred thousand
+    terms, so numbering them in one ordered pass is safe."""
+    terms = weights.select("term").distinct()
+    numbered = terms.withColumn("slot", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("term")) - 1).cast("int"))
+    return stage(numbered, "slots")
+
+
 def _pack(slots: DataFrame, size: int) -> DataFrame:
     ordered = slots.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("slot", "v"))).alias("e")).select(
         "id", F.col("e.slot").alias("indices"), F.col("e.v").alias("values"))
