@@ -3,6 +3,6 @@
 from codeloom.catalog.registry import REGISTRY, Tables
 
 # importing a module registers its queries
-from codeloom.catalog import scalar, dictionaries, candidates, semantic, featuring, learning  # noqa: E402,F401
+from codeloom.catalog import scalar, dictionaries, candidates, semantic, featuring, learning, jobs  # noqa: E402,F401
 
 __all__ = ["REGISTRY", "Tables"]

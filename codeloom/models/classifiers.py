@@ -20,7 +20,7 @@ from codeloom.models import naive_bayes
 from codeloom.operators.features import FeaturePlan
 
 # Names of the candidate families.
-SGD, LOGISTIC, SVC, COMPLEMENT, FOREST = "sgd_log_elasticnet", "logreg_balanced", "linear_svc_balanced", "complement_nb", "boosted_trees"
+SGD, LOGISTIC, SVC, COMPLEMENT, FOREST = "sgd_log_elasticnet", "logreg_balanced", "linear_svc_balanced", "complement_nb", "tree_ensemble"
 
 
 @dataclass

@@ -91,3 +91,31 @@ def fit(sums: DataFrame, vocabulary_size: int, alpha: float, group: str = "grp")
         .groupBy("grp").agg(F.array_sort(F.collect_list("c")).alias("classes"))
     )
     return ComplementModel(stage(deltas, "nb-deltas"), stage(classes, "nb-classes"))
+
+
+def keyed_scores(features: DataFrame, labels: DataFrame, folds: int, seed: int, vocabulary_size: int, alpha: float) -> DataFrame:
+    """(grp, macro_f1, log_loss): cross-validation of every group's model in one keyed job.
+
+    Per-fold sums are aggregated once; the model for a fold sees the sums of the other folds.
+    """
+    from codeloom.operators import metrics
+    from codeloom.operators.filters import stratified_folds
+    from codeloom.operators.ranking import PROB_DIGITS
+
+    dealt = stage(stratified_folds(labels.withColumn("_c", F.concat_ws("|", "grp", "label")), folds, seed, "_c").drop("_c"), "nb-folds")
+    per_fold = features.join(dealt, "id").groupBy("grp", "fold", "label", "term").agg(F.sum(F.col("weight") * F.col("copies")).alias("s"))
+    sums = leave_fold_out(per_fold, folds).withColumn("model", F.concat_ws("|", "grp", "fold"))
+    model = fit(sums, vocabulary_size, alpha, "model")
+    checks = dealt.withColumn("model", F.concat_ws("|", "grp", "fold"))
+    proba = stage(model.proba(features, checks.select("id", F.col("model").alias("grp")).distinct()), "nb-checks")
+    best = proba.groupBy("id", "grp").agg(
+        F.min(F.struct((-F.round("prob", PROB_DIGITS)).alias("o"), "code")).alias("b")).select("id", "grp", F.col("b.code").alias("predicted"))
+    rows = checks.select("id", F.col("grp").alias("key"), F.col("model").alias("grp"), "label", "fold")
+    judged = (
+        rows.join(best, ["id", "grp"])
+        .join(proba.select("id", "grp", F.col("code").alias("label"), "prob"), ["id", "grp", "label"], "left")
+        .select("key", F.col("grp").alias("fold"), "label", "predicted", F.coalesce("prob", F.lit(0.0)).alias("prob"))
+    )
+    per_model = metrics.macro_f1(judged).join(metrics.log_loss(judged), "fold")
+    key = F.element_at(F.split("fold", r"\|"), 1)
+    return per_model.groupBy(key.alias("grp")).agg(F.avg("macro_f1").alias("macro_f1"), F.avg("log_loss").alias("log_loss"))
