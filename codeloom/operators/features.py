@@ -32,26 +32,36 @@ def word_terms(doc: Column) -> Column:
                                   lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(F.array().cast("array<string>")))))
 
 
-def char_terms(doc: Column) -> Column:
-    """Character 3-, 4- and 5-grams inside words padded with one space on both sides."""
-    padded = F.transform(
-        F.filter(F.split(doc, r"\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+def word_rows(docs: DataFrame) -> DataFrame:
+    """(id, copies, term) for every word and word pair of (id, doc, copies) rows."""
+    return docs.select("id", "copies", F.explode_outer(word_terms(F.col("doc"))).alias("term")).filter(F.col("term").isNotNull())
 
-    def grams(w: Column) -> Column:
-        sizes = [F.when(F.length(w) >= n, F.transform(F.sequence(F.lit(1), F.length(w) - (n - 1)),
-                                                      lambda i: F.substring(w, i, F.lit(n)))
-                        ).otherwise(F.array().cast("array<string>")) for n in (3, 4, 5)]
-        return F.concat(*sizes)
 
-    return F.flatten(F.transform(padded, grams))
+def char_rows(docs: DataFrame) -> DataFrame:
+    """(id, copies, term): character 3-, 4- and 5-grams inside words padded with one space on both sides.
+
+    Words, start positions and sizes are unfolded by generators one after the other, all in generated code.
+    """
+    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+    starts = (
+        docs.select("id", "copies", F.explode_outer(F.split("doc", r"\s+")).alias("word"))
+        .filter(F.length("word") > 0)
+        .select("id", "copies", padded.alias("w"), (F.length("word") + 2).alias("n"))
+        .select("id", "copies", "w", "n", F.explode_outer(F.sequence(F.lit(1), F.col("n") - 2)).alias("i"))
+    )
+    grams = F.array(
+        F.substring("w", F.col("i"), F.lit(3)),
+        F.when(F.col("i") + 3 <= F.col("n"), F.substring("w", F.col("i"), F.lit(4))),
+        F.when(F.col("i") + 4 <= F.col("n"), F.substring("w", F.col("i"), F.lit(5))))
+    return starts.select("id", "copies", F.explode_outer(grams).alias("term")).filter(F.col("term").isNotNull())
+
+
+TERM_ROWS = {WORD: word_rows, CHAR: char_rows}
 
 
-def term_counts(docs: DataFrame, terms: Column) -> DataFrame:
+def term_counts(docs: DataFrame, block: str) -> DataFrame:
     """(id, term, tf, copies) from (id, doc, copies): how often each term occurs in each document."""
-    return (
-        docs.select("id", "copies", F.explode_outer(terms).alias("term")).filter(F.col("term").isNotNull())
-        .groupBy("id", "term").agg(F.count("*").alias("tf"), F.max("copies").alias("copies"))
-    )
+    return TERM_ROWS[block](docs).groupBy("id", "term").agg(F.count("*").alias("tf"), F.max("copies").alias("copies"))
 
 
 def document_total(docs: DataFrame) -> int:
@@ -137,6 +147,11 @@ def unit_documents(weights: DataFrame, dims: int) -> DataFrame:
     return packed.select("id", filled.alias("vec"))
 
 
+def text_block(weights: DataFrame) -> DataFrame:
+    """The word and character terms of a feature table."""
+    return weights.filter(F.substring("term", 1, 2).isin(WORD, CHAR))
+
+
 def hashed_vectors(weights: DataFrame, dims: int) -> DataFrame:
     """Sparse ML vectors (id, features) by hashing terms into ``dims`` slots; no vocabulary is collected."""
     slots = weights.groupBy("id", F.pmod(F.xxhash64("term"), F.lit(dims)).cast("int").alias("slot")).agg(F.sum("weight").alias("v"))
@@ -222,9 +237,9 @@ class FeaturePlan:
     def text_weights(self, answers: DataFrame) -> DataFrame:
         """(id, term, weight) of the text block for (id, doc, copies) rows."""
         parts = []
-        for block, terms in ((WORD, word_terms(F.col("doc"))), (CHAR, char_terms(F.col("doc")))):
+        for block in (WORD, CHAR):
             known = self.vocabulary.filter(F.col("block") == block)
-            counts = term_counts(answers.select("id", "doc", "copies"), terms)
+            counts = term_counts(answers.select("id", "doc", "copies"), block)
             parts.append(tfidf(counts, known).withColumn("term", F.concat(F.lit(block), "term")))
         return parts[0].unionByName(parts[1])
 
@@ -249,11 +264,10 @@ def fit_features(answers: DataFrame, category_names: Sequence[str], number_names
     total = document_total(answers)
     docs = answers.select("id", "doc", "copies")
     blocks = []
-    for block, terms, min_df, cap in (
-        (WORD, word_terms(F.col("doc")), config.word_min_count, config.max_word_terms),
-        (CHAR, char_terms(F.col("doc")), config.char_min_count, config.max_char_terms),
+    for block, min_df, cap in (
+        (WORD, config.word_min_count, config.max_word_terms), (CHAR, config.char_min_count, config.max_char_terms),
     ):
-        vocabulary = build_vocabulary(term_counts(docs, terms), total, min_df, config.doc_prop_max, cap)
+        vocabulary = build_vocabulary(term_counts(docs, block), total, min_df, config.doc_prop_max, cap)
         blocks.append(vocabulary.select(F.lit(block).alias("block"), "term", "idf"))
     vocabulary = stage(blocks[0].unionByName(blocks[1]), "vocabulary")
     known = tuple(n for n in category_names if n in answers.columns)
