@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codeloom.functions.probability import bind
-from codeloom.functions.text import float_text, normalized
+from codeloom.functions.text import float_text, normalize_text
 
 # Code texts that mean "no answer".
 MISSING_CODES = ("", "0", "00", "000", "0000", "00000", "000000", "999", "9999", "99999", "999999")
@@ -116,12 +116,17 @@ def code_missing(code: Column, listed: Sequence[str] = ()) -> Column:
     return F.coalesce(missing, F.lit(True))
 
 
+def text_key(text: Column) -> Column:
+    """A text as a key part: normalised, MISSING when nothing is left."""
+    return bind(normalize_text(text), lambda t: F.when(t == "", F.lit(MISSING)).otherwise(t))
+
+
 def key_part(df: DataFrame, name: str) -> Column:
     """One part of a dictionary key: text columns are normalised, others code-cleaned."""
     if name not in df.columns:
         return F.lit(MISSING)
     if df.schema[name].dataType.typeName() == "string":
-        return bind(normalized(df, name), lambda text: F.when(text == "", F.lit(MISSING)).otherwise(text))
+        return text_key(F.col(name))
     return code_or_missing(df, name)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeloom.functions.codes import MISSING, MISSING_CODES, code_or_missing, join_key, key_part
+from codeloom.functions.codes import MISSING, MISSING_CODES, code_or_missing, join_key, key_part, text_key
 from codeloom.functions.text import normalized
 from codeloom.operators.lookup import fits_broadcast, lookup_join
 
@@ -48,11 +48,20 @@ def summarize_labels(counts: DataFrame, keys: Sequence[str], min_count: int) ->
 
 
 def with_keys(df: DataFrame, specs: KeySpecs) -> tuple[DataFrame, list[tuple[int, str, Column]]]:
-    """Add each source column's key part once, and return the (number, name, key) of every usable spec."""
+    """Add each source column's key part once, and return the (number, name, key) of every usable spec.
+
+    Text columns are normalised by one function over an array, which keeps the generated code small.
+    """
     present = [(no, name, cols) for no, (name, cols) in enumerate(specs) if all(c in df.columns for c in cols)]
     sources = sorted({c for _, _, cols in present for c in cols})
-    parts = df.withColumns({f"_part_{c}": key_part(df, c) for c in sources}) if sources else df
-    return parts, [(no, name, join_key([F.col(f"_part_{c}") for c in cols])) for no, name, cols in present]
+    texts = [c for c in sources if df.schema[c].dataType.typeName() == "string"]
+    part = {c: F.get("_texts", F.lit(i)) for i, c in enumerate(texts)}
+    added = {f"_part_{c}": key_part(df, c) for c in sources if c not in part}
+    part.update({c: F.col(f"_part_{c}") for c in sources if c not in part})
+    if texts:
+        added["_texts"] = F.transform(F.array(*[F.col(c) for c in texts]), text_key)
+    parts = df.withColumns(added) if added else df
+    return parts, [(no, name, join_key([part[c] for c in cols])) for no, name, cols in present]
 
 
 def keyed_labels(df: DataFrame, label: Column, specs: KeySpecs) -> DataFrame:
