@@ -36,7 +36,7 @@ def clean_code(value: Column, kind: str = "string") -> Column:
         return (
             F.when(number.isNull() | F.isnan(number) | (F.abs(number) == float("inf")), F.lit(None).cast("string"))
             .when(F.abs(number - whole) < 1e-8, whole.try_cast("decimal(38,0)").cast("string"))
-            .otherwise(float_text(number))
+            .otherwise(bind(number, float_text))
         )
     if kind != "string":
         return value.cast("string")
@@ -110,10 +110,7 @@ def occupation_labelled(number: Column, listed: Sequence[int] = ()) -> Column:
 
 def code_missing(code: Column, listed: Sequence[str] = ()) -> Column:
     """A cleaned code that is null, a no-answer code, or listed as missing."""
-    missing = code.isNull() | code.isin(*MISSING_CODES)
-    if listed:
-        missing = missing | code.isin(*listed)
-    return F.coalesce(missing, F.lit(True))
+    return bind(code, lambda c: c.isNull() | c.isin(*MISSING_CODES, *listed))
 
 
 def text_key(text: Column) -> Column:

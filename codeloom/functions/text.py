@@ -99,7 +99,7 @@ def raw_text(df: DataFrame, name: str) -> Column:
         return F.lit(None).cast("string")
     kind = df.schema[name].dataType.typeName()
     if kind in ("double", "float"):
-        return float_text(F.col(name).cast("double"))
+        return bind(F.col(name).cast("double"), float_text)
     return F.col(name).cast("string")
 
 

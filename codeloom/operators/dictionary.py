@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeloom.functions.codes import MISSING, MISSING_CODES, code_or_missing, join_key, key_part, text_key
+from codeloom.functions.codes import MISSING, code_missing, code_or_missing, join_key, key_part, text_key
 from codeloom.functions.text import normalized
 from codeloom.operators.lookup import fits_broadcast, lookup_join
 
@@ -70,7 +70,7 @@ def keyed_labels(df: DataFrame, label: Column, specs: KeySpecs) -> DataFrame:
     ``explode_outer`` on the never-empty array keeps the optimizer from adding a size filter that would
     compute every key a second time.
     """
-    usable = label.isNotNull() & ~label.isin(*MISSING_CODES)
+    usable = ~code_missing(label)
     parts, keyed = with_keys(df.filter(usable), specs)
     keys = F.array(*[F.struct(F.lit(name).alias("spec"), key.alias("key")) for _, name, key in keyed])
     return (
