@@ -5,10 +5,9 @@ steps keep the graph small and free of hot keys:
 
 * Anchors. Of the short word runs inside a window the one with the smallest hash is its anchor. Equal windows have equal
   anchors at equal places, so a window whose anchor occurs only once in the corpus is unique and no edge is made of it.
-* Edges. Per batch an edge is one row with its first source coordinate, the number of its occurrences, and the word before and
-  after if all agree. Aggregation over batches gives each edge's first coordinate and whether the nodes at its ends branch.
+* Edges. Per batch an edge is one row with its first source coordinate, and the word before and after if all agree. Aggregation over batches gives each edge's first coordinate and whether the nodes at its ends branch.
 * Compaction. An edge is joined to the one that starts a word later at its first source; where the node between them does
-  not branch both belong to one path. Paths are spans of first occurrences: (source document, start, edges, copies).
+  not branch both belong to one path. Paths are spans of first occurrences: (source document, start, edges).
 
 A window that may repeat and lies in no path of its own document is a later copy: the source coordinates say so.
 """
@@ -26,11 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.llm.words import byte_view, gram_hashes, pieces, signed, text_bytes, word_hashes, word_places
-from codeloom.operators.lookup import fits_broadcast
 from codeloom.session import stage
 
 SIZE = 20
-ANCHOR = 8
+ANCHOR = 12
+BROADCAST_BYTES = 64 * 1024 * 1024
+MIXED = 0x7FFF
 
 
 def texts_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -92,21 +92,6 @@ def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield batch.select(["doc_id", "place"]).filter(pa.array(chosen))
 
 
-def first_look(size: int):
-    """Count every text's words. Texts without a repeated anchor are finished; the others keep their body."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "body"):
-            open_rows = np.asarray(pc.is_valid(batch.column("marks")))
-            bodies = batch.column("body").to_pylist()
-            words = [body.split() for body in bodies]
-            digest = [None if more else hashlib.sha256(b" ".join(w)).hexdigest() for more, w in zip(open_rows, words)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(w) for w in words], pa.int64()), pa.array(digest, pa.string()),
-                 pa.array([b if more else None for more, b in zip(open_rows, bodies)], pa.binary()), batch.column("marks")],
-                ["doc_id", "n_words", "kept_sha256", "body", "marks"])
-    return run
-
-
 def likely(words: np.ndarray, marks: np.ndarray, size: int, anchor: int) -> np.ndarray:
     """Which windows of a text have a repeated anchor."""
     at, _ = window_anchors(words, size, anchor)
@@ -115,10 +100,14 @@ def likely(words: np.ndarray, marks: np.ndarray, size: int, anchor: int) -> np.n
     return marked[at]
 
 
-EDGES = "edge long, doc_id long, place int, copies long, before int, after int"
+EDGES = "edge long, doc_id long, place int, sides int"
 
 
 def edge_rows(size: int, anchor: int):
+    """A batch's distinct edges, each with its first source coordinate and 15 bits of the words before and after.
+
+    The two sides only say where paths end, not what is removed, so short hashes do.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "body", 8 * 1024 * 1024):
             edge, row, place, before, after = [], [], [], [], []
@@ -127,67 +116,99 @@ def edge_rows(size: int, anchor: int):
                 edge.append(gram_hashes(words, size)[chosen])
                 place.append(chosen.astype(np.int32))
                 row.append(np.full(len(chosen), doc, dtype=np.int64))
-                around = np.concatenate([[np.uint64(doc)], words, [np.uint64(doc)]])  # a text's ends differ from all other words
-                before.append(signed(around[chosen]).astype(np.int32))
-                after.append(signed(around[chosen + size + 1]).astype(np.int32))
+                around = np.concatenate([[np.uint64(doc)], words, [np.uint64(doc)]]) % np.uint64(MIXED)  # a text's end is its own
+                before.append(around[chosen].astype(np.int32))
+                after.append(around[chosen + size + 1].astype(np.int32))
             edge, row, place = np.concatenate(edge), np.concatenate(row), np.concatenate(place)
             before, after = np.concatenate(before), np.concatenate(after)
-            if not len(edge):
-                continue
-            order = np.lexsort((place, row, edge))
-            edge, row, place, before, after = edge[order], row[order], place[order], before[order], after[order]
-            head = np.flatnonzero(np.append(True, edge[1:] != edge[:-1]))
-            mixed = [np.minimum.reduceat(x, head) != np.maximum.reduceat(x, head) for x in (before, after)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(edge[head])), pa.array(row[head]), pa.array(place[head]), pa.array(np.diff(np.append(head, len(edge)))),
-                 pa.array(before[head], mask=mixed[0]), pa.array(after[head], mask=mixed[1])],
-                ["edge", "doc_id", "place", "copies", "before", "after"])
+            if len(edge):
+                order = np.lexsort((place, row, edge))
+                yield merged(edge[order], row[order], place[order], before[order], after[order])
     return run
 
 
+def merged(edge: np.ndarray, row: np.ndarray, place: np.ndarray, before: np.ndarray, after: np.ndarray) -> pa.RecordBatch:
+    """One row for each edge of rows sorted by edge and coordinate."""
+    head = np.flatnonzero(np.append(True, edge[1:] != edge[:-1]))
+    sides = [np.where(np.minimum.reduceat(x, head) == np.maximum.reduceat(x, head), x[head], MIXED) for x in (before, after)]
+    return pa.RecordBatch.from_arrays([pa.array(edge[head].view(np.int64)), pa.array(row[head]), pa.array(place[head]),
+                                       pa.array((sides[0] << 15 | sides[1]).astype(np.int32))], ["edge", "doc_id", "place", "sides"])
+
+
+def first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first source coordinate of each edge and whether the nodes at its ends branch, from rows sorted by edge, at most one
+    a batch of texts for each edge."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        edge = batch.column("edge").to_numpy()
+        last = int(np.searchsorted(edge, edge[-1]))  # the last edge may go on in the next batch
+        held = batch.slice(last)
+        if last:
+            yield placed(batch.slice(0, last))
+    if held is not None:
+        yield placed(held)
+
+
+def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    sides = batch.column("sides").to_numpy()
+    whole = merged(*(batch.column(c).to_numpy() for c in ("edge", "doc_id", "place")), sides >> 15, sides & MIXED)
+    sides = whole.column("sides").to_numpy()
+    return pa.RecordBatch.from_arrays([whole.column("doc_id"), whole.column("place"), pa.array(sides >> 15 == MIXED), pa.array(sides & MIXED == MIXED)],
+                                      ["doc_id", "place", "forks_in", "forks_out"])
+
+
 def compacted(edges: DataFrame) -> DataFrame:
-    """Paths of first occurrences (doc_id, start, n_edges, copies) of the graph whose batch rows are given."""
-    def branches(side: str):
-        return (F.count(side) < F.count(F.lit(1))) | (F.min(side) < F.max(side))
-    whole = edges.groupBy("edge").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.sum("copies").alias("copies"),
-                                      F.coalesce(branches("before"), F.lit(True)).alias("forks_in"),
-                                      F.coalesce(branches("after"), F.lit(True)).alias("forks_out"))
-    whole = whole.select("first.doc_id", "first.place", "copies", "forks_in", "forks_out")
+    """Paths of first occurrences (doc_id, start, n_edges) of the graph whose batch rows are given."""
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = edges.repartition(n, "edge").sortWithinPartitions("edge", "doc_id", "place")
+    whole = dealt.mapInArrow(first_places, "doc_id long, place int, forks_in boolean, forks_out boolean")
     source = Window.partitionBy("doc_id").orderBy("place")
-    joined = (F.lag("place").over(source) == F.col("place") - 1) & (F.lag("copies").over(source) == F.col("copies")) \
-        & ~F.col("forks_in") & ~F.lag("forks_out").over(source)
+    joined = (F.lag("place").over(source) == F.col("place") - 1) & ~F.col("forks_in") & ~F.lag("forks_out").over(source)
     starts = whole.withColumn("starts", (~F.coalesce(joined, F.lit(False))).cast("int"))
     path = starts.withColumn("path", F.sum("starts").over(source.rowsBetween(Window.unboundedPreceding, 0)))
-    return path.groupBy("doc_id", "path").agg(F.min("place").alias("start"), F.count(F.lit(1)).cast("int").alias("n_edges"),
-                                              F.first("copies").alias("copies")).drop("path")
+    return path.groupBy("doc_id", "path").agg(F.min("place").alias("start"), F.count(F.lit(1)).cast("int").alias("n_edges")).drop("path")
 
 
 def removals(size: int, anchor: int):
     """Words of the windows that repeat an earlier one: those that may repeat and are in no path of the text itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "body"):
-            removed, digest = [], []
+            counts, removed, digest = [], [], []
             for body, marks, starts, edges, words in zip(batch.column("body").to_pylist(), batch.column("marks"), batch.column("starts"),
                                                          batch.column("edges"), texts_of(batch)):
-                later = likely(words, marks.values.to_numpy(), size, anchor)
-                if starts.is_valid:
-                    change = np.zeros(len(words) + 2, dtype=np.int64)
-                    begin, count = starts.values.to_numpy(), edges.values.to_numpy()
-                    np.add.at(change, begin, 1)
-                    np.add.at(change, begin + count, -1)
-                    later &= np.cumsum(change)[:len(later)] == 0
-                cover = np.zeros(len(words) + 1, dtype=np.int64)
-                at = np.flatnonzero(later)
+                own, at = body.split(), np.zeros(0, dtype=np.int64)
+                if marks.is_valid:
+                    later = likely(words, marks.values.to_numpy(), size, anchor)
+                    if starts.is_valid:
+                        change = np.zeros(len(words) + 2, dtype=np.int64)
+                        begin, count = starts.values.to_numpy(), edges.values.to_numpy()
+                        np.add.at(change, begin, 1)
+                        np.add.at(change, begin + count, -1)
+                        later &= np.cumsum(change)[:len(later)] == 0
+                    at = np.flatnonzero(later)
+                cover = np.zeros(len(own) + 1, dtype=np.int64)
                 cover[at] += 1
                 cover[at + size] -= 1
-                gone = np.cumsum(cover)[:len(words)] > 0
+                gone = np.cumsum(cover)[:len(own)] > 0
+                counts.append(len(own))
                 removed.append(int(gone.sum()))
-                digest.append(hashlib.sha256(b" ".join(compress(body.split(), ~gone))).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(removed, pa.int64()), pa.array(digest)],
+                digest.append(hashlib.sha256(b" ".join(compress(own, ~gone) if len(at) else own)).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest)],
                                              ["doc_id", "n_words", "n_removed", "kept_sha256"])
     return run
 
 
+def beside(texts: DataFrame, lists: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Join texts to a staged table of number lists: broadcast if its measured size allows, else both sides are shuffled."""
+    numbers = sum((F.coalesce(F.size(c), F.lit(0)) for c in columns), F.lit(0))
+    total = lists.agg(F.sum(4 * numbers + 40)).first()[0] or 0
+    return texts.join(F.broadcast(lists) if total <= BROADCAST_BYTES else lists, "doc_id", how)
+
+
 def repeated_spans(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR) -> DataFrame:
     """Columns doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space), one row a document.
 
@@ -202,12 +223,8 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR) -> D
     dealt = anchors.repartition(n, F.coalesce("key", F.xxhash64("doc_id", "place"))).sortWithinPartitions("key")
     places = dealt.mapInArrow(repeated_anchors, "doc_id long, place int")
     marks = stage(places.groupBy("doc_id").agg(F.sort_array(F.collect_list("place")).alias("marks")), "anchor-marks")
-    looked = texts.join(F.broadcast(marks) if fits_broadcast(marks) else marks, "doc_id", "left")
-    looked = stage(looked.mapInArrow(first_look(size), "doc_id long, n_words long, kept_sha256 string, body binary, marks array<int>"), "first-look")
-    opened = looked.filter("body is not null")
-    edges = opened.select("doc_id", "body", "marks").mapInArrow(edge_rows(size, anchor), EDGES)
+    edges = beside(texts, marks, ["marks"], "inner").mapInArrow(edge_rows(size, anchor), EDGES)
     paths = compacted(edges).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("n_edges").alias("edges"))
-    done = (opened.join(paths, "doc_id", "left").select("doc_id", "n_words", "body", "marks", "starts", "edges")
-            .mapInArrow(removals(size, anchor), "doc_id long, n_words long, n_removed long, kept_sha256 string"))
-    return (looked.filter("body is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
-            .unionByName(done))
+    found = stage(marks.join(paths, "doc_id", "left"), "paths")
+    return beside(texts, found, ["marks", "starts", "edges"], "left").mapInArrow(
+        removals(size, anchor), "doc_id long, n_words long, n_removed long, kept_sha256 string")
