@@ -6,10 +6,13 @@ the word's position. Decoding joins ids to their pieces. Nothing is trained: the
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,7 @@ from codeloom.llm.words import byte_view, pieces, text_bytes
 from codeloom.session import stage
 
 MAX_WORDS = 1 << 18
+EXTRA_WORDS = 1 << 19
 # Unicode white space (fixed values)
 SPACES = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 # a word of a byte-level vocabulary takes one space before it; of other white space the last character stands alone
@@ -41,11 +45,41 @@ def open_tokenizer(path: str):
     return tokenizer
 
 
+# How the known kinds of tokenizer files cut a text, and the same rules for ASCII and Latin-1 letters only.
+CUTS = {
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+": (True, r"'s|'t|'re|'ve|'m|'ll|'d|[L]+|[0-9]|[^SL0-9]+"),
+    "byte level": (False, r"'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[0-9]+| ?[^SL0-9]+|[S]+(?![^S])|[S]+"),
+}
+LATIN = "a-zA-ZÀ-ÖØ-öø-ÿ"
+SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+
+
+def simple_cut(tokenizer) -> tuple[bool, re.Pattern] | None:
+    """For a tokenizer of a known kind: whether it lower-cases, and the pattern of its pieces in simple words."""
+    rules = json.loads(tokenizer.to_str())
+    before, norm = rules["pre_tokenizer"] or {}, rules["normalizer"] or {}
+    if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not norm:
+        kind = CUTS["byte level"]
+    elif before.get("type") == "Sequence" and [x["type"] for x in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
+        kind = CUTS.get(before["pretokenizers"][0].get("pattern", {}).get("Regex"))
+    else:
+        kind = None
+    return kind and (kind[0], re.compile(kind[1].replace("L", LATIN).replace("S", r"\t-\r ")))
+
+
 class WordIds:
-    """Ids of words. Words outside the table it starts with are encoded when first met and forgotten beyond ``limit``."""
+    """Ids of words. Words outside the table it starts with are encoded when first met and forgotten beyond ``limit``.
+
+    Simple words (ASCII and Latin-1 letters) of tokenizers of a known kind are given to the tokenizer's model piece by piece; all
+    others go through the whole tokenizer. Both give the same ids.
+    """
 
-    def __init__(self, path: str, words: list[str], flat: np.ndarray, sizes: np.ndarray, limit: int = MAX_WORDS):
+    def __init__(self, path: str, words: list[str], flat: np.ndarray, sizes: np.ndarray, limit: int = EXTRA_WORDS):
         self.tokenizer, self.limit = open_tokenizer(path), limit
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cut, self.model = simple_cut(self.tokenizer), self.tokenizer.model
+        char = {b: c for c, b in byte_of_char().items()}
+        self.table = {i: "".join(char[b] for b in chr(i).encode()) for i in range(256)}
         self.base = (words, flat, sizes)
         self.reset()
 
@@ -56,7 +90,17 @@ class WordIds:
         self.start = np.cumsum(self.size) - self.size
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found: list[list[int] | None] = [None] * len(words)
+        if self.cut:
+            lower, pattern = self.cut
+            special = re.compile("|".join(map(re.escape, self.special)) or "(?!)").search
+            for i, word in enumerate(words):
+                if SIMPLE.fullmatch(word) and not special(word):
+                    found[i] = [t.id for piece in pattern.findall(word.lower() if lower else word)
+                                for t in self.model.tokenize(piece if piece.isascii() and piece.isalnum() else piece.translate(self.table))]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            found[i] = e.ids
         sizes = np.array([len(x) for x in found], dtype=np.int64)
         return np.fromiter((i for x in found for i in x), dtype=np.int32, count=int(sizes.sum())), sizes
 
@@ -87,30 +131,48 @@ class WordIds:
         return flat, np.concatenate([[0], after])[words_before]
 
 
-def splitter(byte_level: bool, special: tuple[str, ...]) -> Callable[[str], list[str]]:
-    """Words that encode alone as they do in the text. A text that holds a special token is one word: spaces next to
-    such a token depend on it."""
-    find = (BYTE_LEVEL_WORDS if byte_level else PLAIN_WORDS).findall
-    if byte_level and special:
-        return lambda text: [text] if any(s in text for s in special) else find(text)
-    return find
+KEPT: dict = {}
 
 
-def describe(path: str) -> tuple[bool, tuple[str, ...]]:
-    """Whether spaces belong to the vocabulary, and the special tokens."""
+def kept_ids(key: object, path: str, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> WordIds:
+    """The words that this worker process knows from earlier tasks of the same query."""
+    if KEPT.get("key") != (key, path):
+        KEPT.update(key=(key, path), ids=WordIds(path, words, flat, sizes))
+    return KEPT["ids"]
+
+
+@dataclass(frozen=True)
+class Cut:
+    """How a tokenizer's texts are cut into words that encode alone as they do in the text."""
+    byte_level: bool           # whether spaces belong to the vocabulary
+    special: tuple[str, ...]
+    lower: bool = False
+    simple: re.Pattern | None = None
+
+    def words(self, text: str) -> list[str]:
+        """Texts of ASCII and Latin-1 letters are cut as the tokenizer cuts them; others at white space. Spaces next to a
+        special token depend on it, so with a byte-level vocabulary a text that holds one is a single word."""
+        plain = not any(s in text for s in self.special)
+        if self.simple and plain and (text.isascii() or SIMPLE.fullmatch(text)):
+            return self.simple.findall(text.lower() if self.lower else text)
+        if self.byte_level:
+            return BYTE_LEVEL_WORDS.findall(text) if plain else [text]
+        return PLAIN_WORDS.findall(text)
+
+
+def describe(path: str) -> Cut:
     tokenizer = open_tokenizer(path)
-    kept = bool(tokenizer.encode(" ", add_special_tokens=False).ids)
-    return kept, tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    return Cut(bool(tokenizer.encode(" ", add_special_tokens=False).ids), special, *(simple_cut(tokenizer) or ()))
 
 
-def count_words(byte_level: bool, special: tuple[str, ...]):
+def count_words(cut: Cut):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = splitter(byte_level, special)
         for batch in pieces(batches, "body", 8 * 1024 * 1024):
             counts: Counter[str] = Counter()
             for body in batch.column("body").to_pylist():
                 text = body.decode("utf-8", "replace")
-                words = split(text)
+                words = cut.words(text)
                 if len(words) != 1 or words[0] is not text or len(text) < 64:
                     counts.update(words)
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
@@ -119,10 +181,11 @@ def count_words(byte_level: bool, special: tuple[str, ...]):
 
 def encode_words(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = open_tokenizer(path)
+        encoder = WordIds(path, [], np.zeros(0, np.int32), np.zeros(0, np.int64))
         for batch in batches:
-            found = tokenizer.encode_batch_fast(batch.column("word").to_pylist(), add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array([e.ids for e in found], pa.list_(pa.int32()))], ["word", "ids"])
+            flat, sizes = encoder.encode(batch.column("word").to_pylist())
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), ids], ["word", "ids"])
     return run
 
 
@@ -132,8 +195,7 @@ def word_table(docs: DataFrame, path: str, max_words: int = MAX_WORDS) -> DataFr
     Counts cover all texts. The table holds the words with at least 2**j occurrences, j being the smallest number from 1
     that keeps it within ``max_words``, so its size has a bound. The other words are rare and are encoded where they stand.
     """
-    byte_level, special = describe(path)
-    counts = (docs.select(text_bytes().alias("body")).mapInArrow(count_words(byte_level, special), "word string, n long")
+    counts = (docs.select(text_bytes().alias("body")).mapInArrow(count_words(describe(path)), "word string, n long")
               .groupBy("word").agg(F.sum("n").alias("n")).filter("n >= 2"))
     counts = stage(counts, "word-counts")
     above = counts.agg(*[F.count_if(F.col("n") >= 2 ** j).alias(str(j)) for j in range(1, 48)]).first()
@@ -141,11 +203,13 @@ def word_table(docs: DataFrame, path: str, max_words: int = MAX_WORDS) -> DataFr
     return stage(counts.filter(F.col("n") >= cut).select("word").mapInArrow(encode_words(path), "word string, ids array<int>"), "word-ids")
 
 
-def encode_texts(path: str, shared, byte_level: bool, special: tuple[str, ...]):
+def encode_texts(path: str, shared, cut: Cut):
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split = WordIds(path, *shared.value), splitter(byte_level, special)
+        known = kept_ids(key, path, *shared.value)
         for batch in pieces(batches, "body"):
-            flat, places = known.ids([split(body.decode("utf-8", "replace")) for body in batch.column("body").to_pylist()])
+            flat, places = known.ids([cut.words(body.decode("utf-8", "replace")) for body in batch.column("body").to_pylist()])
             ids = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
     return run
@@ -157,14 +221,13 @@ def encoded(docs: DataFrame, path: str, max_words: int = MAX_WORDS) -> DataFrame
     Null text counts as empty and has no ids; null and repeated ids are kept as they are; other columns are ignored. The
     word table is sent to the tasks; its bound is ``max_words`` words.
     """
-    byte_level, special = describe(path)
     table = word_table(docs, path, max_words).toArrow().combine_chunks()
     words, ids = table.column("word").to_pylist(), table.column("ids").combine_chunks()
     sizes = np.asarray(ids.value_lengths()) if len(ids) else np.zeros(0, np.int64)
     flat = np.asarray(ids.flatten(), dtype=np.int32) if len(ids) else np.zeros(0, np.int32)
     shared = docs.sparkSession.sparkContext.broadcast((words, flat, sizes))
     rows = docs.select("doc_id", text_bytes().alias("body"))
-    return rows.mapInArrow(encode_texts(path, shared, byte_level, special), with_field(rows.select("doc_id"), "ids", T.ArrayType(T.IntegerType())))
+    return rows.mapInArrow(encode_texts(path, shared, describe(path)), with_field(rows.select("doc_id"), "ids", T.ArrayType(T.IntegerType())))
 
 
 def byte_of_char() -> dict[str, int]:

@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeloom.llm.bpe import WordIds, describe, open_tokenizer, splitter
+from codeloom.llm.bpe import describe, kept_ids, open_tokenizer
 from codeloom.llm.words import pieces, text_bytes
 from codeloom.session import shared_folder, stage
 
@@ -28,17 +28,17 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
 def write_part(path: str, folder: str, end_id: int, width: int):
     """Write a sorted partition's ids; returns one manifest row. Every attempt writes names of its own, and only those of the
     attempt that succeeds are in the manifest, so retries and lost executors leave no wrong file in use."""
-    kind = np.dtype(f"<u{width}")
+    kind, cut = np.dtype(f"<u{width}"), describe(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split = WordIds(path, [], np.zeros(0, np.int32), np.zeros(0, np.int64)), splitter(*describe(path))
+        known = kept_ids(None, path, [], np.zeros(0, np.int32), np.zeros(0, np.int64))
         store, base = place(folder)
         name, part, lengths, ids = uuid.uuid4().hex, None, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         store.create_dir(base, recursive=True)
         with store.open_output_stream(f"{base}/{name}.tokens") as out:
             for batch in pieces(batches, "body"):
                 part = batch.column("part")[0].as_py()
-                flat, places = known.ids([split(body.decode("utf-8", "replace")) for body in batch.column("body").to_pylist()])
+                flat, places = known.ids([cut.words(body.decode("utf-8", "replace")) for body in batch.column("body").to_pylist()])
                 flat = np.insert(flat, places[1:], end_id)
                 out.write(flat.astype(kind).tobytes())
                 lengths.append(np.diff(places) + 1)
