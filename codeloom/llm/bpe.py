@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 from codeloom.llm.words import byte_view, pieces, text_bytes
 from codeloom.session import stage
 
-MAX_WORDS = 1 << 18
-EXTRA_WORDS = 1 << 19
+MAX_WORDS = 1 << 17
+EXTRA_WORDS = 1 << 17
+ENCODE_BYTES = 1 << 20
 # Unicode white space (fixed values)
 SPACES = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 # a word of a byte-level vocabulary takes one space before it; of other white space the last character stands alone
@@ -134,10 +135,10 @@ class WordIds:
 KEPT: dict = {}
 
 
-def kept_ids(key: object, path: str, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> WordIds:
+def kept_ids(key: object, path: str, words: list[str], flat: np.ndarray, sizes: np.ndarray, limit: int = EXTRA_WORDS) -> WordIds:
     """The words that this worker process knows from earlier tasks of the same query."""
     if KEPT.get("key") != (key, path):
-        KEPT.update(key=(key, path), ids=WordIds(path, words, flat, sizes))
+        KEPT.update(key=(key, path), ids=WordIds(path, words, flat, sizes, limit))
     return KEPT["ids"]
 
 
@@ -168,7 +169,7 @@ def describe(path: str) -> Cut:
 
 def count_words(cut: Cut):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "body", 8 * 1024 * 1024):
+        for batch in pieces(batches, "body", 4 * ENCODE_BYTES):
             counts: Counter[str] = Counter()
             for body in batch.column("body").to_pylist():
                 text = body.decode("utf-8", "replace")
@@ -208,7 +209,7 @@ def encode_texts(path: str, shared, cut: Cut):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = kept_ids(key, path, *shared.value)
-        for batch in pieces(batches, "body"):
+        for batch in pieces(batches, "body", ENCODE_BYTES):
             flat, places = known.ids([cut.words(body.decode("utf-8", "replace")) for body in batch.column("body").to_pylist()])
             ids = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
@@ -248,9 +249,9 @@ def piece_table(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(bodies), dtype=np.uint8), np.cumsum([0, *map(len, bodies)])
 
 
-def decode_ids(path: str):
+def decode_ids(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        body, start = piece_table(path)
+        body, start = shared.value
         size = np.diff(start)
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
@@ -274,4 +275,5 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
 
     Bytes that are no UTF-8 become replacement characters; ids without a piece are skipped; null ids give an empty text.
     """
-    return rows.mapInArrow(decode_ids(path), with_field(rows, "decoded", T.StringType()))
+    shared = rows.sparkSession.sparkContext.broadcast(piece_table(path))  # the vocabulary's pieces
+    return rows.mapInArrow(decode_ids(shared), with_field(rows, "decoded", T.StringType()))

@@ -12,10 +12,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeloom.llm.bpe import describe, kept_ids, open_tokenizer
+from codeloom.llm.bpe import ENCODE_BYTES, describe, kept_ids, open_tokenizer
 from codeloom.llm.words import pieces, text_bytes
 from codeloom.session import shared_folder, stage
 
+KNOWN_WORDS = 3 << 17
 NO_ID = np.iinfo(np.int64).min
 MANIFEST = "part int, file string, width int, n_docs long, n_tokens long"
 
@@ -31,12 +32,12 @@ def write_part(path: str, folder: str, end_id: int, width: int):
     kind, cut = np.dtype(f"<u{width}"), describe(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = kept_ids(None, path, [], np.zeros(0, np.int32), np.zeros(0, np.int64))
+        known = kept_ids(None, path, [], np.zeros(0, np.int32), np.zeros(0, np.int64), KNOWN_WORDS)
         store, base = place(folder)
         name, part, lengths, ids = uuid.uuid4().hex, None, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         store.create_dir(base, recursive=True)
         with store.open_output_stream(f"{base}/{name}.tokens") as out:
-            for batch in pieces(batches, "body"):
+            for batch in pieces(batches, "body", ENCODE_BYTES):
                 part = batch.column("part")[0].as_py()
                 flat, places = known.ids([cut.words(body.decode("utf-8", "replace")) for body in batch.column("body").to_pylist()])
                 flat = np.insert(flat, places[1:], end_id)
