@@ -119,7 +119,7 @@ class CodingConfig:
     # Settings the caller may still change when scoring with a saved bundle.
     SCORE_TIME = ("min_write_confidence_industry", "min_write_confidence_occupation",
                   "overwrite_all", "overwrite_industry", "overwrite_occupation",
-                  "use_chooser", "chooser_max_rows")
+                  "use_chooser", "chooser_max_rows", "missing_industry_values", "missing_occupation_values")
 
     def at_score_time(self, caller: "CodingConfig") -> "CodingConfig":
         """The saved configuration wins, except for the write-side settings."""

@@ -33,33 +33,20 @@ class Example:
     vectors: DataFrame | None      # id, features
 
 
-def choose_penalty(alpha: float) -> tuple[str, float]:
-    """Penalty family and mixing of an elastic-net ratio."""
-    if alpha <= 0:
-        return "l2", 0.0
-    if alpha >= 1:
-        return "l1", 1.0
-    return "elasticnet", alpha
-
-
-def candidate_gate(config: CodingConfig, stage_name: str, rows: int, features: int, classes: int) -> list[str]:
-    """Candidate families for a stage, by search level and size."""
-    within, flat = stage_name.startswith("within"), stage_name.startswith("naics")
-    names = [SGD]
-    too_large = (within and (rows > 70_000 or classes > 180)) or (flat and (rows > 100_000 or classes > 250))
-    if not too_large:
-        names.append(LOGISTIC)
-    if config.model_search in ("robust", "max") and classes <= 120 and rows <= 90_000:
-        names.append(SVC)
-    if config.model_search in ("light", "robust", "max"):
-        names.append(COMPLEMENT)
-    trees = (config.model_search in ("robust", "max") and classes <= config.tree_max_classes
-             and features <= config.tree_max_features and not (within and rows < 80))
-    if trees:
-        names.append(FOREST)
-    if config.candidate_models is not None:
-        names = [n for n in names if n in config.candidate_models] or [config.candidate_models[0]]
-    return names
+# Candidate families of each search level. No size of the data takes a family away.
+SEARCH_FAMILIES = {
+    "light": (SGD, LOGISTIC, COMPLEMENT),
+    "robust": (SGD, LOGISTIC, SVC, COMPLEMENT, FOREST),
+    "max": (SGD, LOGISTIC, SVC, COMPLEMENT, FOREST),
+}
+
+
+def candidate_families(config: CodingConfig) -> list[str]:
+    """The families to compare: the caller's list, else those of the search level."""
+    level = SEARCH_FAMILIES.get(config.model_search, (SGD, LOGISTIC))
+    if config.candidate_models is None:
+        return list(level)
+    return [n for n in level if n in config.candidate_models] or list(config.candidate_models[:1])
 
 
 def balanced(rows: DataFrame) -> DataFrame:
@@ -122,13 +109,13 @@ def fit_vector(example: Example, classes: list[str], config: CodingConfig, vocab
     ratio = 0.25 if config.profile == "accuracy" else 0.15
     if family == SGD:
         base = LogisticRegression(regParam=overrides.get("alpha", config.sgd_alpha), maxIter=overrides.get("max_iter", config.sgd_max_iter),
-                                  elasticNetParam=choose_penalty(overrides.get("l1_ratio", ratio))[1], tol=1e-4, **common)
+                                  elasticNetParam=min(max(overrides.get("l1_ratio", ratio), 0.0), 1.0), tol=1e-4, **common)
         estimator, link = OneVsRest(classifier=base, parallelism=4, **common), "sigmoid"
     elif family == LOGISTIC:
         count = max(1, rows.count())
         estimator, link = LogisticRegression(
             family="multinomial", regParam=1.0 / (overrides.get("c", config.logistic_c) * count),
-            elasticNetParam=choose_penalty(overrides.get("l1_ratio", ratio))[1],
+            elasticNetParam=min(max(overrides.get("l1_ratio", ratio), 0.0), 1.0),
             maxIter=overrides.get("max_iter", config.logistic_max_iter), **common), "probability"
     elif family == SVC:
         count = max(1, rows.count())

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +21,10 @@ CODE_COLUMNS = {
 EMPTY = "code string, doc string"
 
 
-def first_existing(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
-    """First candidate that matches a column name, ignoring case."""
-    found = {c.lower(): c for c in columns}
-    return next((found[c.lower()] for c in candidates if c.lower() in found), None)
-
-
 def codebook_documents(book: DataFrame, kind: str) -> DataFrame:
     """(code, doc): every text column as ``name: text``; rows without a usable code or text are dropped."""
-    code_column = first_existing(book.columns, CODE_COLUMNS[kind])
+    rank = {name: place for place, name in enumerate(CODE_COLUMNS[kind])}
+    code_column = min((c for c in book.columns if c.lower() in rank), key=lambda c: rank[c.lower()], default=None)
     if code_column is None:
         LOG.warning("no code column for %s in %s", kind, book.columns)
         return book.sparkSession.createDataFrame([], EMPTY)

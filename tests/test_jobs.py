@@ -79,3 +79,16 @@ def test_embedding_cache_encodes_only_misses(spark, tmp_path):
     assert cache.cached_vectors(docs("a", "b", "b"), path, "m", encode).count() == 2
     assert cache.cached_vectors(docs("b", "ccc"), path, "m", encode).count() == 2
     assert seen == [2, 1]
+
+
+def test_missing_lists_come_from_the_caller(spark):
+    from codeloom import CodingConfig
+    saved = CodingConfig(missing_industry_values=("1",))
+    caller = CodingConfig(missing_industry_values=("2",), missing_occupation_values=(7,))
+    used = saved.at_score_time(caller)
+    assert used.missing_industry_values == ("2",) and used.missing_occupation_values == (7,)
+
+
+def test_code_column_by_preference(spark):
+    book = spark.createDataFrame([("11-1011", "111021", "chief")], "CODE string, Soc string, title string")
+    assert [r.code for r in codebook.codebook_documents(book, "occupation").collect()] == ["111021"]
