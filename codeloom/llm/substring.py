@@ -96,7 +96,7 @@ def likely(words: np.ndarray, marks: np.ndarray, size: int, anchor: int) -> np.n
     """Which windows of a text have a repeated anchor."""
     at, _ = window_anchors(words, size, anchor)
     marked = np.zeros(len(words) + 1, dtype=bool)
-    marked[marks] = True
+    marked[marks[marks < len(words)]] = True  # rows that share an id share their marks
     return marked[at]
 
 
@@ -186,8 +186,8 @@ def removals(size: int, anchor: int):
                     if starts.is_valid:
                         change = np.zeros(len(words) + 2, dtype=np.int64)
                         begin, count = starts.values.to_numpy(), edges.values.to_numpy()
-                        np.add.at(change, begin, 1)
-                        np.add.at(change, begin + count, -1)
+                        np.add.at(change, np.minimum(begin, len(words) + 1), 1)
+                        np.add.at(change, np.minimum(begin + count, len(words) + 1), -1)
                         later &= np.cumsum(change)[:len(later)] == 0
                     at = np.flatnonzero(later)
                 cover = np.zeros(len(own) + 1, dtype=np.int64)
@@ -213,17 +213,18 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR) -> D
     """Columns doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space), one row a document.
 
     A word goes if a window of ``size`` words that covers it also starts earlier: in a smaller doc_id, or before in the same text.
-    Null texts have no words, and texts under ``size`` words lose none. Ids should be unique; a null id is refused, as the order
-    of documents decides what stays. Other columns are ignored, and an empty table gives an empty result.
+    Null texts have no words, and texts under ``size`` words lose none. The order of documents decides what stays, so rows with a
+    null id take no part and come back whole. Ids should be unique; rows that share one count as one document, so they are not
+    copies of each other. Other columns are ignored, and an empty table gives an empty result.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
-    texts = texts.withColumn("doc_id", F.coalesce("doc_id", F.raise_error(F.lit("doc_id is null"))))
-    anchors = texts.mapInArrow(anchor_rows(size, anchor), "key long, doc_id long, place int, known boolean")
+    ordered = texts.filter("doc_id is not null")
+    anchors = ordered.mapInArrow(anchor_rows(size, anchor), "key long, doc_id long, place int, known boolean")
     dealt = anchors.repartition(n, F.coalesce("key", F.xxhash64("doc_id", "place"))).sortWithinPartitions("key")
     places = dealt.mapInArrow(repeated_anchors, "doc_id long, place int")
     marks = stage(places.groupBy("doc_id").agg(F.sort_array(F.collect_list("place")).alias("marks")), "anchor-marks")
-    edges = beside(texts, marks, ["marks"], "inner").mapInArrow(edge_rows(size, anchor), EDGES)
+    edges = beside(ordered, marks, ["marks"], "inner").mapInArrow(edge_rows(size, anchor), EDGES)
     paths = compacted(edges).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("n_edges").alias("edges"))
     found = stage(marks.join(paths, "doc_id", "left"), "paths")
     return beside(texts, found, ["marks", "starts", "edges"], "left").mapInArrow(

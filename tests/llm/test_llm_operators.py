@@ -256,3 +256,25 @@ def test_encoding_and_decoding(docs, rows, none, words):
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids
         assert list(found[i].ids) == ids and found[i].decoded == tokenizer.decode(ids, skip_special_tokens=False) == (text or "")
     assert decoded(encoded(none, BYTES), BYTES).count() == 0
+
+
+def test_null_and_repeated_ids(spark):
+    words = [f"w{i}" for i in range(40)]
+    whole, half = " ".join(words), " ".join(words[:25])
+    rows = [(None, whole), (5, whole), (5, half), (5, whole), (7, "x " + whole), (None, None)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "'a' as source").repartition(3)
+    spans = sorted(((r.doc_id or 0, r.n_words, r.n_removed) for r in repeated_spans(odd).collect()))
+    assert spans == [(0, 0, 0), (0, 40, 0), (5, 25, 0), (5, 40, 0), (5, 40, 0), (7, 41, 40)]
+    near = sorted((r.doc_id or 0, r.component_id or 0, r.n_shingles) for r in near_duplicates(odd).collect())
+    assert len(near) == len(rows) and near[0] == (0, 0, 0)
+    for found in (token_digests(odd, WORDS, end_id=2), scores(odd), judged(odd), repeated_runs(odd), mixed(odd), exact_groups(odd),
+                  license_scan.licences(odd), decoded(encoded(odd, BYTES), BYTES)):
+        ids = [r.doc_id for r in found.collect()]
+        assert sorted(i or 0 for i in ids) == [0, 0, 5, 5, 5, 7]
+
+
+def test_sample_of_lines_is_bounded(spark):
+    many = spark.range(20000).selectExpr("id as doc_id", "concat('line ', id, '\\n', 'second') as text")
+    lines = license_scan.sampled_lines(many, 50, 1)
+    assert len(lines) == 50 and lines == license_scan.sampled_lines(many.repartition(7), 50, 1)
+    assert len(license_scan.sampled_lines(many.limit(10), 50, 2)) == 20
