@@ -136,11 +136,18 @@ def template_grams() -> list[tuple[int, np.ndarray]]:
 
 
 def sampled_lines(docs: DataFrame, texts: int, lines: int) -> list[bytes]:
-    """At most ``texts`` texts chosen by a hash of their id, and ``lines`` of each by a hash of the line."""
-    rows = docs.select("doc_id", F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x != "").alias("lines"))
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(texts)
+    """At most ``texts`` texts chosen by a hash of their id, and ``lines`` of each by a hash of the line.
+
+    Only ids whose hash is below a bound set by the number of rows are sorted, about four times as many as are wanted, and only
+    chosen lines leave their task, so what reaches the driver does not grow with the corpus.
+    """
+    share = min(1.0, 4 * texts / max(1, docs.count()))
+    draw = F.xxhash64("doc_id")
+    rows = docs.filter(draw <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else (1 << 63) - 1)).select(
+        draw.alias("draw"), "doc_id", F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x != "").alias("lines"))
     by_hash = F.array_sort(F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))
-    return [x.encode() for row in chosen.select(F.transform(F.slice(by_hash, 1, lines), lambda s: F.substring(s["x"], 1, 2000)).alias("l")).collect() for x in row["l"]]
+    cut = rows.select("draw", "doc_id", F.transform(F.slice(by_hash, 1, lines), lambda s: F.substring(s["x"], 1, 2000)).alias("l"))
+    return [x.encode() for row in cut.orderBy("draw", "doc_id", "l").limit(texts).select("l").collect() for x in row["l"]]
 
 
 def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_lines: int = SAMPLE_LINES) -> Classifier:
