@@ -164,9 +164,9 @@ def rerank_promote(t: Tables) -> DataFrame:
 
 @query("review_queue", f"""
     select r.id, r.code as top_code, round(r.prob, 6) as conf,
-           case when n.title = '' then '' else 'qe4: ' || n.title || chr(10) end || 'qa20: ' || lower(n.employer) as context
+           concat_ws(chr(10), case when n.title <> '' then 'qe4: ' || n.title end, case when n.employer <> '' then 'qa20: ' || lower(n.employer) end) as context
     from {{ranked_v}} r join {{normed_v}} n on r.id = n.id
-    where r.rank = 1 and r.prob < 0.55 order by r.id limit {CONFIG.chooser_max_rows}""", {**RANKED, **DICT_VIEWS})
+    where r.rank = 1 and r.prob < 0.55 and (n.title <> '' or n.employer <> '')""", {**RANKED, **DICT_VIEWS})
 def review_queue(t: Tables) -> DataFrame:
     s = t.survey
     contexts = s.select("id", text.review_context(s, ("qe4", "qa20")).alias("context"))

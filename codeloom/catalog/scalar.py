@@ -105,10 +105,10 @@ def text_present(t: Tables) -> DataFrame:
     return s.select("id", text.text_present(s, ("qe4", "qe8aoth", "absent_column")).alias("present"))
 
 
-DOC_SQL = " || ' | ' || ".join(["'EMPLOYER: ' || " + O.norm("qa20")]) + "".join(
-    f" || case when {O.norm(c)} = '' then '' else ' | {p} ' || {O.norm(c)} end"
-    for c, p in (("qe4", "JOBTITLE:"), ("qe5a", "UNUSEDSKILL_TITLE:"), ("qe1oth", "INDUSTRY_OTHER:"),
-                 ("qe8aoth", "SELFEMP_OTHER:"), ("qe2b", "WORKCITY:")))
+DOC_SQL = "coalesce(nullif(concat_ws(' | '" + "".join(
+    f", case when {O.norm(c)} <> '' then '{p} ' || {O.norm(c)} end"
+    for c, p in (("qa20", "EMPLOYER:"), ("qe4", "JOBTITLE:"), ("qe5a", "UNUSEDSKILL_TITLE:"), ("qe1oth", "INDUSTRY_OTHER:"),
+                 ("qe8aoth", "SELFEMP_OTHER:"), ("qe2b", "WORKCITY:"))) + "), ''), '__EMPTY__')"
 
 
 @query("build_docs", f"""
@@ -124,9 +124,9 @@ def build_docs(t: Tables) -> DataFrame:
 
 
 @query("review_context", f"""
-    select cast(doc_id as bigint) as id, substring(
+    select cast(doc_id as bigint) as id,
         case when {O.norm('source')} = '' then '' else 'source: ' || {O.norm('source')} || chr(10) end ||
-        case when {O.norm('text')} = '' then '' else 'text: ' || {O.norm('text')} end, 1, 3000) as context
+        case when {O.norm('text')} = '' then '' else 'text: ' || {O.norm('text')} end as context
     from {{documents}}""")
 def review_context(t: Tables) -> DataFrame:
     d = t.documents
@@ -141,7 +141,7 @@ def numeric_coerce(t: Tables) -> DataFrame:
 
 
 @query("composite_key", f"""
-    select id, {O.key_part('qa20')} || '||' || {O.key_part('qe4')} as employer_title,
+    select id, nullif({O.key_part('qa20')} || '||' || {O.key_part('qe4')}, 'MISSING||MISSING') as employer_title,
            nullif({O.key_part('qe4')} || '||' || {O.key_part('qe1oth')}, 'MISSING||MISSING') as title_industry,
            nullif({O.key_part('qe4')} || '||' || coalesce({O.code_number('qa20a')}, 'MISSING'), 'MISSING||MISSING') as title_code
     from {{survey}} where {O.norm('qe4')} <> '' or qa20a is not null or {O.norm('qe1oth')} <> ''""")
@@ -258,7 +258,7 @@ def distinct_codes(t: Tables) -> DataFrame:
     select major, cast(label as varchar) as code, round(share, 6) as share, cast(rank as int) as rank from (
         select major, label, count(*) / sum(count(*)) over (partition by major) as share,
                row_number() over (partition by major order by count(*) desc, cast(label as varchar)) as rank
-        from {valid_soc_v} group by major, label) b where rank <= 75""", LABEL_VIEWS)
+        from {valid_soc_v} group by major, label) b""", LABEL_VIEWS)
 def group_baseline(t: Tables) -> DataFrame:
     return filters.group_baseline(occupation_rows(t)).withColumn("share", F.round("share", 6))
 
@@ -292,7 +292,7 @@ def exemplars(t: Tables) -> DataFrame:
 @query("exemplar_union", f"""
     select 'survey' as origin, cast(id as varchar) as ref, {O.code_number('qa20a')} as label, 1.0::double as weight,
            'EMPLOYER: ' || {O.norm('qa20')} as doc
-    from {{survey}} where not {O.code_missing(O.code_number('qa20a'))}
+    from {{survey}} where not {O.code_missing(O.code_number('qa20a'))} and {O.norm('qa20')} <> ''
     union all
     select 'codebook', soc_code, {O.code_text('soc_code')}, 0.6::double,
            'title: ' || {O.norm('title')} || ' | description: ' || {O.norm('description')}

@@ -4,25 +4,26 @@
 """
 
 VIEWS = {
-    # One response per order with lines: dirty titles, employers, coded answers and partly missing target codes.
+    # One response per order: dirty titles, employers, coded answers and partly missing target codes. Orders without lines have no
+    # titles, employer and codes of their own.
     "survey": """
         select cast(o.o_orderkey as bigint) as id,
-          case o.o_orderkey % 6
+          case when p.p_name is null then null else case o.o_orderkey % 6
             when 0 then concat(upper(p.p_name), ' Mgr.')
             when 1 then concat('  ', p.p_name, ',  Asst ')
             when 2 then concat(p.p_name, ' Tech')
             when 3 then (case when o.o_orderkey % 4 = 3 then null else p.p_name end)
             when 4 then concat(split_part(p.p_name, ' ', 2), ' ', split_part(p.p_name, ' ', 1))
-            else p.p_name end as qe4,
-          case o.o_orderkey % 5
+            else p.p_name end end as qe4,
+          case when q.p_name is null then null else case o.o_orderkey % 5
             when 0 then null
             when 1 then concat(q.p_name, ' Svc')
             when 2 then concat('Sr. ', q.p_name)
-            else q.p_name end as qe5a,
+            else q.p_name end end as qe5a,
           s.s_name as qa20,
-          case when o.o_orderkey % 7 = 0 then null else concat('Industry & ', p.p_type) end as qe1oth,
-          case when o.o_orderkey % 13 = 0 then concat(c.c_mktsegment, ' svcs') else null end as qe8aoth,
-          case when o.o_orderkey % 3 = 0 then null else concat('City ', cast(c.c_nationkey as varchar(10))) end as qe2b,
+          case when o.o_orderkey % 7 = 0 or p.p_type is null then null else concat('Industry & ', p.p_type) end as qe1oth,
+          case when o.o_orderkey % 13 = 0 and c.c_mktsegment is not null then concat(c.c_mktsegment, ' svcs') else null end as qe8aoth,
+          case when o.o_orderkey % 3 = 0 or c.c_nationkey is null then null else concat('City ', cast(c.c_nationkey as varchar(10))) end as qe2b,
           o.o_orderstatus as qe1,
           p.p_brand as qse1,
           o.o_orderpriority as qa9,
@@ -39,12 +40,12 @@ VIEWS = {
                when o.o_orderkey % 28 = 3 then cast(431000 + q.p_partkey % 50 as double)
                else cast((11 + 2 * (ascii(q.p_name) % 23)) * 10000 + 1000 + 10 * length(q.p_name) as double) end as qe5ar
         from {orders} o
-        join (select l_orderkey, min(l_partkey) as part_no, max(l_partkey) as other_part_no, min(l_suppkey) as supplier_no
+        left join (select l_orderkey, min(l_partkey) as part_no, max(l_partkey) as other_part_no, min(l_suppkey) as supplier_no
               from {lineitem} group by l_orderkey) l on l.l_orderkey = o.o_orderkey
-        join {part} p on p.p_partkey = l.part_no
-        join {part} q on q.p_partkey = l.other_part_no
-        join {supplier} s on s.s_suppkey = l.supplier_no
-        join {customer} c on c.c_custkey = o.o_custkey
+        left join {part} p on p.p_partkey = l.part_no
+        left join {part} q on q.p_partkey = l.other_part_no
+        left join {supplier} s on s.s_suppkey = l.supplier_no
+        left join {customer} c on c.c_custkey = o.o_custkey
     """,
     # Codes as they arrive from files: padded, blank, with decimals, with suffixes, or numeric.
     "raw_codes": """

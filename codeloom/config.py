@@ -34,7 +34,8 @@ class CodingConfig:
     use_chooser: bool = False
     chooser_trigger_industry: float = 0.55
     chooser_trigger_occupation: float = 0.55
-    chooser_max_rows: int = 250
+    # accepted answers of the chooser; None accepts all
+    chooser_max_rows: int | None = None
     chooser_confidence: float = 0.72
     chooser_free_code: bool = False
 
@@ -65,8 +66,9 @@ class CodingConfig:
     candidate_models: tuple[str, ...] | None = None
 
     # features
-    max_word_terms: int = 120_000
-    max_char_terms: int = 120_000
+    # None keeps every term that its counts allow
+    max_word_terms: int | None = None
+    max_char_terms: int | None = None
     word_min_count: int = 2
     char_min_count: int = 5
     doc_prop_max: float = 0.80

@@ -135,12 +135,13 @@ def build_document(df: DataFrame, names: Sequence[str], prefixes: Mapping[str, s
     return bind(F.concat_ws(FIELD_SEPARATOR, *parts), lambda doc: F.when(doc == "", F.lit(EMPTY_DOC)).otherwise(doc))
 
 
-def review_context(df: DataFrame, names: Sequence[str], max_chars: int = 3000) -> Column:
-    """``column: text`` lines for a reviewer. The length limit is part of the review format."""
+def review_context(df: DataFrame, names: Sequence[str], max_chars: int | None = None) -> Column:
+    """``column: text`` lines for a reviewer, cut to ``max_chars`` characters where a limit is given."""
     parts = [
         with_lead(normalized(df, name), f"{name}: ")
         for name in names if name in df.columns
     ]
     if not parts:
         return F.lit("")
-    return F.substring(F.concat_ws("\n", *parts), 1, max_chars)
+    context = F.concat_ws("\n", *parts)
+    return context if max_chars is None else F.substring(context, 1, max_chars)

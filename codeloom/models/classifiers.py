@@ -1,6 +1,7 @@
 """Candidate classifiers on Spark ML vectors and on long feature tables, behind one small interface.
 
-``fit`` takes distinct answers with their labels and copies; ``proba`` returns (id, code, prob).
+``fit`` takes distinct answers with their labels and copies; ``arrays`` returns (id, codes, probs), one row per answer, and
+``proba`` the same as (id, code, prob).
 """
 
 from __future__ import annotations
@@ -58,13 +59,22 @@ def balanced(rows: DataFrame) -> DataFrame:
         "instance_weight", F.col("copies") * F.lit(float(totals["n"]) / float(totals["k"])) / F.col("_n")).drop("_n")
 
 
+def spread(arrays: DataFrame) -> DataFrame:
+    """(id, code, prob) from (id, codes, probs)."""
+    return arrays.select("id", F.explode_outer(F.arrays_zip(F.col("codes").alias("code"), F.col("probs").alias("prob"))).alias("e")).select(
+        "id", F.col("e.code").alias("code"), F.col("e.prob").alias("prob"))
+
+
 @dataclass
 class ComplementClassifier:
     model: naive_bayes.ComplementModel
 
-    def proba(self, example: Example) -> DataFrame:
+    def arrays(self, example: Example) -> DataFrame:
         groups = example.rows.select("id").distinct().withColumn("grp", F.lit("all"))
-        return self.model.proba(example.nonnegative, groups).select("id", "code", "prob")
+        return self.model.arrays(example.nonnegative, groups).select("id", "codes", "probs")
+
+    def proba(self, example: Example) -> DataFrame:
+        return spread(self.arrays(example))
 
 
 @dataclass
@@ -75,7 +85,7 @@ class VectorClassifier:
     classes: list[str]
     link: str  # probability, sigmoid or softmax
 
-    def proba(self, example: Example) -> DataFrame:
+    def arrays(self, example: Example) -> DataFrame:
         scored = self.model.transform(example.vectors)
         column = "probability" if self.link == "probability" else "rawPrediction"
         scores = vector_to_array(F.col(column))
@@ -86,8 +96,10 @@ class VectorClassifier:
         else:
             values = scores
         codes = F.array(*[F.lit(c) for c in self.classes])
-        return scored.select("id", F.explode_outer(F.arrays_zip(codes.alias("code"), values.alias("prob"))).alias("e")).select(
-            "id", F.col("e.code").alias("code"), F.col("e.prob").alias("prob"))
+        return scored.select("id", codes.alias("codes"), values.alias("probs"))
+
+    def proba(self, example: Example) -> DataFrame:
+        return spread(self.arrays(example))
 
 
 def fit_complement(example: Example, classes: list[str], config: CodingConfig, vocabulary_size: int, alpha: float | None = None):

@@ -41,6 +41,8 @@ class ComplementModel:
         """(id, grp, codes array, scores array). ``groups`` has (id, grp): the models to evaluate per row."""
         weighted = features.join(groups.select("id", "grp"), "id")
         mass = weighted.groupBy("id", "grp").agg(F.sum("weight").alias("sx"))
+        # a row without any known term keeps its place: all its scores are 0, so all classes are equally likely
+        mass = groups.select("id", "grp").join(mass, ["id", "grp"], "left").withColumn("sx", F.coalesce("sx", F.lit(0.0)))
         packed = self.deltas.groupBy("grp", "term").agg(F.collect_list(F.struct("label", "delta")).alias("d"))
         hits = lookup_join(weighted, packed, ("grp", "term"), spread="id", how="inner", broadcast=broadcast)
         sums = (
@@ -54,6 +56,10 @@ class ComplementModel:
             F.try_element_at("m", c["code"]), F.lit(0.0)))
         return rows.select("id", "grp", F.col("classes.code").alias("codes"), scores.alias("scores"))
 
+    def arrays(self, features: DataFrame, groups: DataFrame, broadcast: bool | None = None) -> DataFrame:
+        """(id, grp, codes array, probs array): one row per row and model, classes in code order."""
+        return self.scores(features, groups, broadcast).select("id", "grp", "codes", softmax(F.col("scores")).alias("probs"))
+
     def proba(self, features: DataFrame, groups: DataFrame, broadcast: bool | None = None) -> DataFrame:
         """(id, grp, code, prob) for every class of the row's models."""
         scored = self.scores(features, groups, broadcast)

@@ -68,14 +68,14 @@ def document_total(docs: DataFrame) -> int:
     return int(docs.agg(F.sum("copies").alias("n")).first()["n"] or 0)
 
 
-def build_vocabulary(counts: DataFrame, total: int, min_df: int, max_share: float, max_terms: int) -> DataFrame:
-    """(term, df, cf, idf): terms in enough but not too many documents, the most frequent ``max_terms``."""
-    return (
+def build_vocabulary(counts: DataFrame, total: int, min_df: int, max_share: float, max_terms: int | None = None) -> DataFrame:
+    """(term, df, cf, idf): terms in enough but not too many documents; the most frequent ``max_terms`` where a limit is given."""
+    allowed = (
         counts.groupBy("term").agg(F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("cf"))
         .filter((F.col("df") >= min_df) & (F.col("df") <= max_share * total))
-        .orderBy(F.desc("cf"), F.asc("term")).limit(max_terms)
-        .withColumn("idf", F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0)
     )
+    kept = allowed if max_terms is None else allowed.orderBy(F.desc("cf"), F.asc("term")).limit(max_terms)
+    return kept.withColumn("idf", F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0)
 
 
 def tfidf(counts: DataFrame, vocabulary: DataFrame, broadcast: bool | None = None) -> DataFrame:
@@ -158,23 +158,35 @@ def hashed_vectors(weights: DataFrame, dims: int) -> DataFrame:
     return _pack(slots, dims)
 
 
-def indexed_vectors(weights: DataFrame, slots: DataFrame, size: int, broadcast: bool | None = None) -> DataFrame:
-    """Sparse ML vectors (id, features) with one slot per vocabulary term. ``slots`` has (term, slot)."""
+def indexed_vectors(weights: DataFrame, slots: DataFrame, size: int, broadcast: bool | None = None,
+                    ids: DataFrame | None = None) -> DataFrame:
+    """Sparse ML vectors (id, features) with one slot per vocabulary term. ``slots`` has (term, slot).
+
+    Rows of ``ids`` without any known term get an empty vector; without ``ids`` they are left out.
+    """
     joined = lookup_join(weights, slots, ("term",), spread="id", how="inner", broadcast=broadcast)
-    return _pack(joined.select("id", "slot", F.col("weight").alias("v")), size)
+    return _pack(joined.select("id", "slot", F.col("weight").alias("v")), size, ids)
 
 
 def slot_table(weights: DataFrame) -> DataFrame:
-    """(term, slot) for all terms of a feature table. The vocabulary caps bound it to a few hundred thousand
-    terms, so numbering them in one ordered pass is safe."""
-    terms = weights.select("term").distinct()
-    numbered = terms.withColumn("slot", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("term")) - 1).cast("int"))
-    return stage(numbered, "slots")
+    """(term, slot) for all terms of a feature table, in the order of the terms.
+
+    Terms are numbered inside the ranges given by their first characters; only the ranges' sizes are summed in one task.
+    """
+    terms = stage(weights.select("term").distinct().withColumn("_range", F.substring("term", 1, 5)), "terms-by-range")
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = terms.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("term"))
+    numbered = terms.withColumn("_pos", inside).join(offsets, "_range")
+    return stage(numbered.select("term", (F.col("_before") + F.col("_pos") - 1).cast("int").alias("slot")), "slots")
 
 
-def _pack(slots: DataFrame, size: int) -> DataFrame:
+def _pack(slots: DataFrame, size: int, ids: DataFrame | None = None) -> DataFrame:
     ordered = slots.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("slot", "v"))).alias("e")).select(
         "id", F.col("e.slot").alias("indices"), F.col("e.v").alias("values"))
+    if ids is not None:
+        ordered = ids.select("id").distinct().join(ordered, "id", "left").select(
+            "id", F.coalesce("indices", F.array().cast("array<int>")).alias("indices"), F.coalesce("values", F.array().cast("array<double>")).alias("values"))
     schema = T.StructType([ordered.schema["id"], T.StructField("features", VectorUDT())])
 
     def to_udt(batches):

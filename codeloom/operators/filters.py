@@ -77,15 +77,15 @@ def apply_mask(missing: Column, top: Column, conf: Column, threshold: float, ove
     return F.coalesce(allowed & top.isNotNull() & (conf >= threshold), F.lit(False))
 
 
-def group_baseline(rows: DataFrame, keep: int = 75) -> DataFrame:
-    """(major, code, share, rank): the most frequent codes of every major group."""
+def group_baseline(rows: DataFrame, keep: int | None = None) -> DataFrame:
+    """(major, code, share, rank): the codes of every major group by frequency, at most ``keep`` of them where it is given."""
     per = Window.partitionBy("major")
-    return (
+    ranked = (
         class_counts(rows, ("major", "label")).withColumn("share", F.col("n") / F.sum("n").over(per))
         .withColumn("rank", F.row_number().over(per.orderBy(F.desc("n"), F.asc(F.col("label").cast("string")))))
-        .filter(F.col("rank") <= keep)
         .select("major", F.col("label").cast("string").alias("code"), "share", "rank")
     )
+    return ranked if keep is None else ranked.filter(F.col("rank") <= keep)
 
 
 def class_weights(rows: DataFrame, label: str = "label") -> DataFrame:

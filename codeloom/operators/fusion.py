@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.config import CodingConfig
 from codeloom.functions.probability import array_total, bind
-from codeloom.operators.ranking import top_k
+from codeloom.operators.ranking import PROB_DIGITS, top_k
 
 
 def align_classes(proba: DataFrame, classes: list[str], id_col: str = "id") -> DataFrame:
@@ -25,6 +25,45 @@ def align_classes(proba: DataFrame, classes: list[str], id_col: str = "id") -> D
         id_col, F.col("e.code").alias("code"), F.col("e.prob").alias("prob"))
 
 
+def share_of_total(values: Column) -> Column:
+    """An array divided by its total; the uniform distribution where the total is zero."""
+    return bind(values, lambda v: bind(array_total(v), lambda total: F.transform(
+        v, lambda p: F.when(total > 0, p / total).otherwise(F.lit(1.0) / F.size(v)))))
+
+
+def aligned(codes: Column, probs: Column, classes: list[str]) -> Column:
+    """``probs`` over exactly ``classes``, re-normalised. Where the codes already are the classes nothing is looked up."""
+    expected = F.array(*[F.lit(c) for c in sorted(classes)])
+    given = F.map_from_arrays(codes, probs)
+    looked_up = bind(given, lambda m: F.transform(expected, lambda c: F.coalesce(F.try_element_at(m, c), F.lit(0.0))))
+    return share_of_total(F.when(codes == expected, probs).otherwise(looked_up))
+
+
+def average_in_rows(models: list[tuple[DataFrame, float]], classes: list[str], id_col: str = "id") -> DataFrame:
+    """(id, probs): the weighted mean of models' (id, codes, probs) rows as one array per row, in the order of the sorted classes."""
+    total = sum(weight for _, weight in models)
+    total = total if total > 0 else 1.0
+    mean = None
+    for table, weight in models:
+        part = table.select(id_col, F.transform(aligned(F.col("codes"), F.col("probs"), classes), lambda p: p * F.lit(weight / total)).alias("probs"))
+        if mean is None:
+            mean = part
+        else:
+            both = mean.join(part.withColumnRenamed("probs", "_more"), id_col, "full")
+            mean = both.select(id_col, F.when(F.col("probs").isNull(), F.col("_more")).when(F.col("_more").isNull(), F.col("probs")).otherwise(
+                F.zip_with("probs", "_more", lambda a, b: a + b)).alias("probs"))
+    return mean.select(id_col, share_of_total(F.col("probs")).alias("probs"))
+
+
+def top_in_rows(mean: DataFrame, classes: list[str], k: int, id_col: str = "id") -> DataFrame:
+    """(id, rank, code, prob): the k best classes, cut inside the row before anything is exploded."""
+    expected = F.array(*[F.lit(c) for c in sorted(classes)])
+    entries = F.zip_with(expected, "probs", lambda c, p: F.struct((-F.round(p, PROB_DIGITS)).alias("order"), c.alias("code"), p.alias("prob")))
+    best = F.slice(F.array_sort(entries), 1, max(1, k))
+    return mean.select(id_col, F.posexplode_outer(best).alias("pos", "e")).select(
+        id_col, (F.col("pos") + 1).alias("rank"), F.col("e.code").alias("code"), F.col("e.prob").alias("prob"))
+
+
 def normalize_rows(candidates: DataFrame, id_col: str = "id") -> DataFrame:
     """Divide by the row total; rows whose total is zero become uniform over their codes."""
     row = Window.partitionBy(id_col)

@@ -31,12 +31,12 @@ def to_wide(ranked: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     return ranked.groupBy(id_col).agg(*columns)
 
 
-def review_queue(ranked: DataFrame, contexts: DataFrame, trigger: float, limit: int, id_col: str = "id") -> DataFrame:
-    """The first ``limit`` rows, in id order, that have candidates, context and too little confidence."""
+def review_queue(ranked: DataFrame, contexts: DataFrame, trigger: float, limit: int | None, id_col: str = "id") -> DataFrame:
+    """The rows, or the first ``limit`` of them in id order, that have candidates, context and too little confidence."""
     first = ranked.filter((F.col("rank") == 1) & F.col("code").isNotNull()).select(
         id_col, F.col("code").alias("top_code"), F.col("prob").alias("conf"))
     doubtful = first.filter(F.col("conf") < trigger).join(contexts.filter(F.col("context") != ""), id_col)
-    return doubtful.orderBy(id_col).limit(limit)
+    return doubtful if limit is None else doubtful.orderBy(id_col).limit(limit)
 
 
 def parse_choice(answer: Column) -> Column:

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from codeloom.models import naive_bayes
+from codeloom.models import classifiers, naive_bayes, selection
 from codeloom.operators import features, fusion, ranking
 from codeloom.config import CodingConfig
 
@@ -106,3 +106,23 @@ def test_promotion_keeps_positions(spark):
     choices = spark.createDataFrame([(1, "c")], "id int, chosen string")
     got = {(r["id"], r["rank"]): (r["code"], round(r["prob"], 9)) for r in ranking.promote(ranked, choices, 0.72, 4).collect()}
     assert got == {(1, 1): ("c", 0.72), (1, 2): ("a", 0.225), (1, 3): ("b", 0.15), (2, 1): ("a", 0.4)}
+
+
+def test_rows_of_unseen_terms_stay_and_ensembles_agree_with_the_long_form(spark):
+    table = spark.createDataFrame([("a", "x", 1.0), ("b", "y", 2.0), ("c", "x", 1.0), ("c", "y", 0.5), ("d", "never", 1.0)], "id string, term string, weight double")
+    labels = spark.createDataFrame([("a", "all", "1", 2), ("b", "all", "2", 1), ("c", "all", "10", 1)], "id string, grp string, label string, copies bigint")
+    model = classifiers.ComplementClassifier(naive_bayes.fit(naive_bayes.label_term_sums(table, labels), 2, 0.5))
+    example = classifiers.Example(spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("e",)], "id string"), table, table, None)
+    classes = ["1", "10", "2", "3"]  # a class that the model lacks
+    one = selection.FittedEnsemble("s", ["m"], [model], [2.0], classes, [], 4, 2)
+    two = selection.FittedEnsemble("s", ["m", "m"], [model, model], [2.0, 1.0], classes, [], 4, 2)
+    long = {(r["id"], r["code"]): r["prob"] for r in fusion.ensemble_average([(fusion.align_classes(model.proba(example), classes), 1.0)]).collect()}
+    for ensemble in (one, two):
+        found = {(r["id"], r["code"]): r["prob"] for r in ensemble.proba(example).collect()}
+        assert found.keys() == long.keys() and all(abs(found[k] - long[k]) < 1e-12 for k in long)
+    assert all(abs(long["e", c] - (0.0 if c == "3" else 1 / 3)) < 1e-12 for c in classes)  # no term at all: the model's classes alike
+    best = {r["id"]: r["code"] for r in one.top(example, 1).collect()}
+    assert best == {r["id"]: r["code"] for r in ranking.top_k(one.proba(example), 1).collect()} and len(best) == 5
+    slots = features.slot_table(table)
+    empty = {r["id"]: r["features"].numNonzeros() for r in features.indexed_vectors(table.filter("id < 'c'"), slots, 3, ids=example.rows).collect()}
+    assert empty == {"a": 1, "b": 1, "c": 0, "d": 0, "e": 0}

@@ -72,7 +72,7 @@ def test_documents_and_keys(spark):
 
 def test_review_context_limit(spark):
     df = spark.createDataFrame([("word " * 2000,)], "t string")
-    assert len(df.select(text.review_context(df, ("t",))).first()[0]) == 3000
+    assert len(df.select(text.review_context(df, ("t",), 3000)).first()[0]) == 3000
 
 
 @pytest.mark.parametrize("raw, expected", [
