@@ -6,7 +6,9 @@ the kept bigrams leave, so each state's probabilities sum to one. As an automato
 kept word, an arc for each kept bigram, and a failure arc with weight ``left(h)`` to the root, whose arcs are the unigrams.
 
 Counts cover all training texts. Words and bigrams are counted by Spark; what is sent to the tasks has a bound: the words and
-the arcs with at least as many occurrences as keeps them within it. Tokens of other words are scored by a join with all counts.
+the arcs with at least as many occurrences as keeps them within it. This is only a short cut: other words take their unigram and
+failure weight, and other bigrams their arc, from a join with the full tables, so scores do not depend on the bounds. A bit table of
+the arcs that are not sent lets the tasks leave out most bigrams that have no arc at all; a false hit costs a row and no more.
 """
 
 from __future__ import annotations
@@ -19,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codeloom.llm.words import byte_view, pieces, signed, text_bytes, word_hashes, word_places
+from codeloom.llm.words import byte_view, factors, mix, pieces, signed, text_bytes, word_hashes, word_places
 from codeloom.session import stage
 
 MAX_WORDS = 1 << 20
 MAX_ARCS = 1 << 20
 DISCOUNT = 0.75
 END = 0  # the hash that stands for the end of a text
-START = 0  # the state of a text's start; words take states from 1
+START = 0  # the state of a text's start, and its hash where a word comes before; words take states from 1
+SIEVE_BITS = 27  # 16 MB
+FIRST, SECOND = factors(2000, 2002)
 STEPS = sorted({2 ** j for j in range(1, 48)} | {3 * 2 ** j for j in range(47)})
 
 
@@ -70,71 +74,156 @@ class Words:
         return before, own
 
 
-def count_pairs(shared):
+def hashes_before(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The hash before each token, that of the start before a text's first."""
+    before = np.append(np.uint64(START), tokens[:-1])
+    before[first[:-1]] = START
+    return before
+
+
+def rare_keys(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Keys of bigrams that hold a word without a state, from the words' hashes: negative, unlike those made of two states."""
+    return signed(mix(one * FIRST + two * SECOND) | np.uint64(1 << 63))
+
+
+def count_pairs(shared, rare: bool):
+    """Bigrams as (key of two states, null), and if ``rare`` those with a word that has no state as (hash, hash)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Words = shared.value
         for _, tokens, first in token_batches(batches, 16 * 1024 * 1024):
             before, own = words.pairs(tokens, first)
             both = (before >= 0) & (own >= 0)
-            yield counted((before[both].astype(np.uint64) << np.uint64(32)) | own[both].astype(np.uint64))
+            keys, n = np.unique((before[both] << 32) | own[both], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(n)], ["key", "next", "n"])
+            if rare and not both.all():
+                one, two = hashes_before(tokens, first)[~both], tokens[~both]
+                order = np.lexsort((two, one))
+                one, two = one[order], two[order]
+                head = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(one[head])), pa.array(signed(two[head])),
+                                                  pa.array(np.diff(np.append(head, len(one))))], ["key", "next", "n"])
     return run
 
 
+def sieve_places(keys: np.ndarray) -> np.ndarray:
+    """The bit of each key in the table of arcs that are not sent."""
+    return mix(keys.view(np.uint64)) >> np.uint64(64 - SIEVE_BITS)
+
+
 @dataclass
 class Automaton:
     words: Words
-    known: np.ndarray      # whether the word of a place occurs in training
     root: np.ndarray       # log10 of the unigram weight by place
     fail: np.ndarray       # log10 of the failure arc's weight by state
     arcs: np.ndarray       # state << 32 | state of the next word, ascending
     weight: np.ndarray     # log10 of the arc's weight
+    sieve: np.ndarray | None  # bits of the arcs that are not sent, if there are any
 
-    def traverse(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log weight of each step, log unigram weight of each token (0 for words that are not kept), and the kept words.
+    def traverse(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Log weight of each step, log unigram weight of each token, the kept words, and the key of each step that may have an arc elsewhere.
 
-        Reading a token leads to its word's state, or to the root if the word has none, so a step depends on the state that
+        Words that are not kept have the weights 0 here, and steps without an arc elsewhere the key 0. Reading a token leads to its word's state, or to the root if the word has none, so a step depends on the state that
         the token before it left: the states of a batch are carried from left to right all at once.
         """
         before, own = self.words.pairs(tokens, first)
         kept = own >= 0
         unigram = np.where(kept, self.root[np.maximum(own, 1) - 1], 0.0) if len(self.root) else np.zeros(len(tokens))
         step = np.where(before >= 0, self.fail[np.maximum(before, 0)], 0.0) + unigram
+        both = kept & (before >= 0)
+        wanted = np.where(both, (before << 32) | np.maximum(own, 0), -1)
+        held_arc = np.zeros(len(tokens), dtype=bool)
         if len(self.arcs):
-            wanted = np.where(kept & (before >= 0), (before << 32) | np.maximum(own, 0), -1)
             at = np.searchsorted(self.arcs, wanted)
             at[at == len(self.arcs)] = 0
-            step = np.where(self.arcs[at] == wanted, self.weight[at], step)
-        return step, unigram, kept
+            held_arc = self.arcs[at] == wanted
+            step = np.where(held_arc, self.weight[at], step)
+        elsewhere = np.zeros(len(tokens), dtype=np.int64)
+        if self.sieve is not None:
+            wanted[~both] = rare_keys(hashes_before(tokens, first)[~both], tokens[~both])
+            place = sieve_places(wanted)
+            hit = (self.sieve[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+            elsewhere = np.where((hit == 1) & ~held_arc, wanted, 0)
+        return step, unigram, kept, elsewhere
+
+
+def state_hashes(shared):
+    """The words of states in place of the states; the start has the hash 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = signed(np.append(np.uint64(START), shared.value.hashes))
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[batch.column("state").to_numpy()]), batch.column("share")], ["key", "share"])
+    return run
+
+
+def spare_arcs(shared, discount: float):
+    """Key and gain of bigrams of two states, from their counts: an arc's weight over that of the step that fails to the root instead."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, left, unigram = shared.value
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            state, word = key >> 32, key & 0xFFFFFFFF
+            gain = np.log10(1.0 + (batch.column("n").to_numpy() - discount) / seen[state] / (left[state] * unigram[word - 1]))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(gain)], ["pair", "gain"])
+    return run
+
+
+def rare_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = rare_keys(batch.column("key").to_numpy().view(np.uint64), batch.column("next").to_numpy().view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("gain")], ["pair", "gain"])
+
+
+def sieve_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The 64-bit words of the bit table that the keys of a task touch."""
+    table = np.zeros(1 << SIEVE_BITS - 6, dtype=np.uint64)
+    for batch in batches:
+        place = sieve_places(batch.column("pair").to_numpy())
+        np.bitwise_or.at(table, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    at = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(signed(table[at]))], ["at", "bits"])
+
+
+def per_row(batch: pa.RecordBatch, owner: np.ndarray, keys: np.ndarray, name: str, names: list[str], schema: pa.Schema) -> pa.RecordBatch:
+    """A row for each different key of each text, with its number of occurrences; all other columns are null."""
+    order = np.lexsort((keys, owner))
+    who, key = owner[order], keys[order]
+    head = np.flatnonzero((np.diff(who, prepend=-1) != 0) | np.append(True, key[1:] != key[:-1]))
+    found = {"row": batch.column("row").take(pa.array(who[head])), name: pa.array(signed(key[head])),
+             "times": pa.array(np.diff(np.append(head, len(key))))}
+    return pa.RecordBatch.from_arrays([found.get(c, pa.nulls(len(head), schema.field(c).type)) for c in names], schema=schema)
 
 
 def score_rows(shared):
-    """A row of sums for each text, and a row (key) for each of its words that the automaton does not hold."""
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "key", "times"]
+    """A row of sums for each text, and rows for its words (key) and steps (pair) whose weights the automaton does not hold."""
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "key", "pair", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Automaton = shared.value
         for batch, tokens, first in token_batches(batches, 2 * 1024 * 1024):
-            step, unigram, kept = model.traverse(tokens, first)
+            step, unigram, kept, elsewhere = model.traverse(tokens, first)
             n = batch.num_rows
             owner = np.repeat(np.arange(n), np.diff(first))
             base, score = (np.bincount(owner, weights=x, minlength=n) for x in (unigram, step))
             known = np.bincount(owner[kept], minlength=n)
-            yield pa.RecordBatch.from_arrays(
+            none = pa.nulls(n, pa.int64())
+            sums = pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(first)), pa.array(known),
-                 pa.array(base), pa.array(score), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
-            other = ~kept
-            if other.any():
-                order = np.lexsort((tokens[other], owner[other]))
-                who, key = owner[other][order], tokens[other][order]
-                head = np.flatnonzero((np.diff(who, prepend=-1) != 0) | np.append(True, key[1:] != key[:-1]))
-                m = len(head)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").take(pa.array(who[head])), pa.nulls(m, batch.column("doc_id").type), pa.nulls(m, pa.bool_()),
-                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()),
-                     pa.array(signed(key[head])), pa.array(np.diff(np.append(head, len(key))))], names)
+                 pa.array(base), pa.array(score), none, none, none], names)
+            yield sums
+            for name, keys, chosen in (("key", tokens, ~kept), ("pair", elsewhere, elsewhere != 0)):
+                if chosen.any():
+                    yield per_row(batch, owner[chosen], keys[chosen], name, names, sums.schema)
     return run
 
 
+def sorted_columns(table: DataFrame, key: str, value: str, kind: type = np.int64) -> tuple[np.ndarray, np.ndarray]:
+    """Two columns of a bounded table on the driver, by the first."""
+    found = table.select(key, value).toArrow()
+    keys, values = found.column(key).to_numpy().view(kind), found.column(value).to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
 def least_count(counts: DataFrame, limit: int) -> int:
     """The smallest of the fixed steps that at most ``limit`` rows reach."""
     reached = counts.agg(*[F.count_if(F.col("n") >= s).alias(str(s)) for s in STEPS]).first()
@@ -151,6 +240,7 @@ def scores(docs: DataFrame, max_words: int = MAX_WORDS, max_arcs: int = MAX_ARCS
     Columns doc_id, held_out, n_tokens, n_known (tokens seen in training), train_tokens, base_score (log10 of the smoothed
     unigram) and score (log10 of the model). A null text is its end token only; a null id is hashed as an empty text and kept;
     repeated ids are rows of their own; other columns are ignored. Without training texts all probabilities are uniform.
+    ``max_words`` and ``max_arcs`` bound what is sent to the tasks; they do not change the scores.
     """
     context = docs.sparkSession.sparkContext
     texts = docs.select("doc_id", held(docs).alias("held_out"), text_bytes().alias("body"))
@@ -161,34 +251,72 @@ def scores(docs: DataFrame, max_words: int = MAX_WORDS, max_arcs: int = MAX_ARCS
     scale = whole["tokens"] + 0.5 * (whole["distinct"] + 1)
 
     least = least_count(counts, max_words)
-    kept = counts.filter(F.col("n") >= least).toArrow()  # at most max_words rows
-    hashes, n = kept.column("key").to_numpy().view(np.uint64), kept.column("n").to_numpy()
-    order = np.argsort(hashes)
-    words, n = Words(hashes[order]), n[order]
+    rare = least > 2  # a bigram that occurs twice has no word that occurs once
+    hashes, n = sorted_columns(counts.filter(F.col("n") >= least), "key", "n", np.uint64)  # at most max_words rows
+    words = Words(hashes)
     shared = context.broadcast(words)
-    pairs = stage(training.mapInArrow(count_pairs(shared), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1"), "pair-counts")
-    arcs = pairs.filter(F.col("n") >= max(least, least_count(pairs, max_arcs))).toArrow()  # at most max_arcs rows
+    pairs = stage(training.mapInArrow(count_pairs(shared, rare), "key long, next long, n long").groupBy("key", "next")
+                  .agg(F.sum("n").alias("n")).filter("n > 1"), "pair-counts")
+    both, others = pairs.filter("next is null"), pairs.filter("next is not null")
+
+    # what the arcs of a word take, all of them, whether they are sent or not; the start has the hash of the end, which comes before nothing
+    share = F.sum(F.col("n") - F.lit(discount)).alias("share")
+    taken = both.groupBy(F.shiftright("key", 32).alias("state")).agg(share).mapInArrow(state_hashes(shared), "key long, share double")
+    starts = counts.sparkSession.createDataFrame([(START, max(whole["texts"], 1))], counts.schema)
+    leaving = counts.filter(F.col("key") != END).unionByName(starts)  # how often a word is left: once for each occurrence
+    if rare:
+        taken = taken.unionByName(others.groupBy("key").agg(share)).groupBy("key").agg(F.sum("share").alias("share"))
+    taken = stage(taken.join(leaving, "key"), "shares")
+    shared.destroy()
+    key, part = sorted_columns(taken.filter((F.col("n") >= least) | (F.col("key") == START)), "key", "share")  # at most max_words + 1 rows
+    seen = np.append(max(whole["texts"], 1), n).astype(float)
+    left = np.ones(len(seen))
+    state = np.where(key == START, START, words.states(key.view(np.uint64)))
+    left[state] -= part / seen[state]
+    unigram = (n + 0.5) / scale
 
-    key, times = arcs.column("key").to_numpy(), arcs.column("n").to_numpy()
-    order = np.argsort(key)
-    key, times = key[order], times[order]
+    enough = least_count(both, max_arcs)
+    key, times = sorted_columns(both.filter(F.col("n") >= enough), "key", "n")  # at most max_arcs rows
     state, word = key >> 32, key & 0xFFFFFFFF
-    seen = np.append(max(whole["texts"], 1), n).astype(float)  # how often a state is left: once for each occurrence
-    share = (times - discount) / seen[state]
-    left = 1.0 - np.bincount(state, weights=share, minlength=len(seen))
-    unigram = (n + 0.5) / scale
-    weight = np.log10(share + left[state] * unigram[word - 1]) if len(key) else np.zeros(0)
-    model = context.broadcast(Automaton(words, n > 0, np.log10(unigram), np.log10(left), key, weight))
+    weight = np.log10((times - discount) / seen[state] + left[state] * unigram[word - 1]) if len(key) else np.zeros(0)
+    del times, state, word, part, hashes
+
+    spare = both.filter(F.col("n") < enough)
+    elsewhere = sieve = None  # the arcs that are not sent, and their bits
+    if rare or not spare.isEmpty():
+        weights = context.broadcast((seen, left, unigram))
+        elsewhere = spare.mapInArrow(spare_arcs(weights, discount), "pair long, gain double")
+        if rare:
+            before = leaving.join(taken.select("key", "share"), "key").select("key", F.col("n").alias("seen"), (1 - F.col("share") / F.col("n")).alias("whole"))
+            after = counts.select(F.col("key").alias("next"), ((F.col("n") + 0.5) / F.lit(scale)).alias("unigram"))
+            gain = F.log10(1 + (F.col("n") - F.lit(discount)) / F.col("seen") / (F.col("whole") * F.col("unigram")))
+            elsewhere = elsewhere.unionByName(others.join(before, "key").join(after, "next").select("key", "next", gain.alias("gain"))
+                                              .mapInArrow(rare_arcs, "pair long, gain double"))
+        elsewhere = stage(elsewhere, "spare-arcs")
+        weights.destroy()
+        bits = elsewhere.mapInArrow(sieve_words, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most 2^21 rows
+        sieve = np.zeros(1 << SIEVE_BITS - 6, dtype=np.uint64)
+        sieve[bits.column("at").to_numpy()] = bits.column("bits").to_numpy().view(np.uint64)
+        del bits
+    model = context.broadcast(Automaton(words, np.log10(unigram), np.log10(left), key, weight, sieve))
+    del words, n, seen, left, unigram, key, weight, sieve
 
     rows = texts.withColumn("row", F.monotonically_increasing_id())
-    schema = "row long, doc_id {}, held_out boolean, n_tokens long, n_known long, base double, score double, key long, times long"
+    schema = "row long, doc_id {}, held_out boolean, n_tokens long, n_known long, base double, score double, key long, pair long, times long"
     scored = stage(rows.mapInArrow(score_rows(model), schema.format(docs.schema["doc_id"].dataType.simpleString())), "scores")
-    rare = scored.filter("key is not null").select("row", "key", "times").join(counts, "key", "left")
     log = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(scale))
-    rare = rare.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
-                                   F.sum(F.col("times") * log).alias("rare_log"))
-    joined = scored.filter("key is null").drop("key", "times").join(rare, "row", "left")
-    extra = F.coalesce("rare_log", F.lit(0.0))
-    return joined.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-                         F.lit(whole["tokens"]).cast("long").alias("train_tokens"), (F.col("base") + extra).alias("base_score"),
-                         (F.col("score") + extra).alias("score"))
+    single = scored.filter("key is not null").select("row", "key", "times").join(counts, "key", "left")
+    fail = F.lit(0.0)
+    if rare:  # every word but the end comes before a token once for each time that it occurs
+        single = single.join(taken.filter(F.col("key") != START).select("key", "share"), "key", "left")
+        fail = F.when(F.col("key") == END, 0.0).otherwise(F.coalesce(F.log10(1 - F.col("share") / F.col("n")), F.lit(0.0)))
+    added = single.select("row", F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("known"), (F.col("times") * log).alias("base"),
+                          (F.col("times") * (log + fail)).alias("score"))
+    if elsewhere is not None:
+        steps = scored.filter("pair is not null").select("row", "pair", "times").join(elsewhere, "pair")
+        added = added.unionByName(steps.select("row", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("times") * F.col("gain")).alias("score")))
+    added = added.groupBy("row").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("score").alias("more_score"))
+    joined = scored.filter("key is null and pair is null").drop("key", "pair", "times").join(added, "row", "left")
+    return joined.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+                         F.lit(whole["tokens"]).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+                         (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))

@@ -278,3 +278,10 @@ def test_sample_of_lines_is_bounded(spark):
     lines = license_scan.sampled_lines(many, 50, 1)
     assert len(lines) == 50 and lines == license_scan.sampled_lines(many.repartition(7), 50, 1)
     assert len(license_scan.sampled_lines(many.limit(10), 50, 2)) == 20
+
+
+@pytest.mark.parametrize("bounds", [(5, 3), (0, 0), (40, 1 << 20), (1 << 20, 3)])
+def test_scores_do_not_depend_on_what_is_sent(docs, bounds):
+    whole, few = by_id(scores(docs)), by_id(scores(docs, *bounds))
+    for i, r in whole.items():
+        assert few[i].n_known == r.n_known and np.isclose(few[i].base_score, r.base_score) and np.isclose(few[i].score, r.score)
