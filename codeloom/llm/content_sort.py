@@ -102,6 +102,14 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that exact deduplication keeps, with all their columns."""
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
+    """The rows of ``docs`` that exact deduplication keeps, one of each group, with all their columns.
+
+    Rows are told apart by a staged number, so null and repeated ids are rows like others: the longest original stays, then the
+    smallest id, null last.
+    """
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "content-rows")
+    facts = rows.select("_row", F.struct(-F.length(F.coalesce("text", F.lit(""))).alias("chars"), F.col("doc_id").isNull().alias("no_id"), "doc_id",
+                                         F.xxhash64(*docs.columns).alias("print"), "_row").alias("_order"))
+    groups = exact_groups(rows, "_row").select(F.col("doc_id").alias("_row"), F.col("keep_id").alias("_group"))
+    kept = groups.join(facts, "_row").groupBy("_group").agg(F.min("_order").alias("_order")).select(F.col("_order._row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").drop("_row")
