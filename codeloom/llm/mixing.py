@@ -83,8 +83,16 @@ def mixed(docs: DataFrame, seed: str = "mix", weights: Sequence[int] = WEIGHTS,
     So no document is taken more than twice, and reruns agree. Null text has size 0; null source is the last source; other
     columns are ignored; repeated ids are rows of their own. An empty table gives an empty result.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = stage(docs.select("doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+    return dealt(docs, seed, weights, block_words, shard_words, shard_rows).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def dealt(docs: DataFrame, seed: str, weights: Sequence[int], block_words: int, shard_words: int, shard_rows: int, more: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``mixed``, with the shard (place, shard), the document's place in it (draw, doc_id) and the columns ``more``.
+
+    The first of ``more`` takes part in the draw; rows of a shard with the same draw are in order of all of them.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *[F.col(c).cast("string") for c in more[:1]]))
+    sized = stage(docs.select("doc_id", "source", *more, F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
                               digest.alias("draw")), "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     targets = (source_targets(sizes, weights).withColumn("shards", F.greatest(
@@ -104,7 +112,7 @@ def mixed(docs: DataFrame, seed: str = "mix", weights: Sequence[int] = WEIGHTS,
     some = F.greatest(F.lit(1), F.col("shard_blocks"))
     shards = (shards.withColumn("passes", F.floor(quota / some).cast("long")).withColumn("part_blocks", quota % some)
               .withColumn("turn", hex_long(F.concat(F.lit(f"{seed}:block:"), F.col("place").cast("string"), F.lit(":"), F.col("shard").cast("string")))))
-    line = Window.partitionBy("place", "shard").orderBy("draw", "doc_id")
+    line = Window.partitionBy("place", "shard").orderBy("draw", "doc_id", *more)
     rows = (placed.withColumn("stop", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("start", F.col("stop") - F.col("size")).join(shards, ["place", "shard"]))
     block, zero = F.lit(block_words).cast("long"), F.lit(0).cast("long")
@@ -115,12 +123,23 @@ def mixed(docs: DataFrame, seed: str = "mix", weights: Sequence[int] = WEIGHTS,
 
     numbers = F.sequence(F.floor(F.col("start") / block).cast("long"), F.floor((F.col("stop") - 1) / block).cast("long"))
     partly = F.when((F.col("size") > 0) & (F.col("part_blocks") > 0), F.aggregate(numbers, zero, from_block)).otherwise(zero)
-    return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + partly).alias("taken"))
+    return rows.withColumn("taken", F.col("passes") * F.col("size") + partly)
 
 
 def mix_rows(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """The mixed table: each document as often as the words taken of it make up whole documents, rounded (0, 1 or 2)."""
-    taken = mixed(docs.dropDuplicates(["doc_id"]), seed).select(
-        F.col("doc_id").alias("_id"), F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("_copies"))
-    rows = docs.join(taken.filter("_copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    """The mixed table: whole documents, 0 to 2 copies of each, whose words follow the quota of every shard.
+
+    A document has as many copies as ``taken`` holds whole ones, and one more where the shard's running sum of the parts left over
+    passes a half. The sum runs by size, so a shard's words differ from those taken by less than its longest document. Each row
+    is mixed by itself: rows with null or repeated ids are drawn by their text as well.
+    """
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_print", F.xxhash64("doc_id", "source", "text")), "mix-rows")
+    taken = dealt(rows, seed, WEIGHTS, BLOCK_WORDS, SHARD_WORDS, SHARD_ROWS, ("_print", "_row"))
+    some = F.greatest(F.col("size"), F.lit(1))
+    line = Window.partitionBy("place", "shard").orderBy("size", "draw", "_print", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    sofar = F.sum("_part").over(line)
+    taken = (taken.withColumn("_whole", F.floor(F.col("taken") / some)).withColumn("_part", F.col("taken") % some / some)
+             .withColumn("_sum", sofar)
+             .withColumn("_copies", (F.col("_whole") + F.floor(F.col("_sum") + 0.5) - F.floor(F.col("_sum") - F.col("_part") + 0.5)).cast("int")))
+    rows = rows.drop("_print").join(taken.filter("_copies > 0").select("_row", "_copies"), "_row").drop("_row")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy", "_copies")
