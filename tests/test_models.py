@@ -1,9 +1,11 @@
 """Features and naive Bayes against plain Python."""
 
+import dataclasses
 import math
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from codeloom.models import classifiers, naive_bayes, selection
@@ -126,3 +128,8 @@ def test_rows_of_unseen_terms_stay_and_ensembles_agree_with_the_long_form(spark)
     slots = features.slot_table(table)
     empty = {r["id"]: r["features"].numNonzeros() for r in features.indexed_vectors(table.filter("id < 'c'"), slots, 3, ids=example.rows).collect()}
     assert empty == {"a": 1, "b": 1, "c": 0, "d": 0, "e": 0}
+
+
+def test_registered_jobs_run_the_full_configuration():
+    from codeloom.catalog import jobs
+    assert dataclasses.replace(jobs.CONFIG, use_fuzzy=False) == CodingConfig()
