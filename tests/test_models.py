@@ -133,3 +133,18 @@ def test_rows_of_unseen_terms_stay_and_ensembles_agree_with_the_long_form(spark)
 def test_registered_jobs_run_the_full_configuration():
     from codeloom.catalog import jobs
     assert dataclasses.replace(jobs.CONFIG, use_fuzzy=False) == CodingConfig()
+
+
+def test_registered_classifiers_run_the_full_configuration(monkeypatch):
+    from codeloom.catalog import learning
+    seen = []
+    monkeypatch.setattr(learning, "by_language", lambda t: (None, ["de", "en"], None, 9, 5))
+    monkeypatch.setattr(learning.selection, "fit_best", lambda *a: seen.append(a[5:]) or 1 / 0)
+    monkeypatch.setattr(learning.selection, "search_parameters", lambda *a: seen.append(a[2:]) or 1 / 0)
+    monkeypatch.setattr(learning.classifiers, "candidate", lambda name, **overrides: seen.append((name, overrides)) or 1 / 0)
+    for query in (learning.fit_best, learning.param_search, learning.clf_logistic, learning.clf_multinomial, learning.clf_svc, learning.clf_forest):
+        with pytest.raises(ZeroDivisionError):
+            query(None)
+    config = CodingConfig()
+    assert seen[:2] == [(config.folds_industry, config, 5, config.search_trials_industry)] * 2
+    assert seen[2:] == [(n, {}) for n in (learning.classifiers.SGD, learning.classifiers.LOGISTIC, learning.classifiers.SVC, learning.classifiers.FOREST)]
