@@ -50,6 +50,7 @@ FAMILIES = (UNKNOWN, *TEMPLATES)
 BITS = 13
 SAMPLE_TEXTS = 2000
 SAMPLE_LINES = 4
+SAMPLE_CHARS = 2000
 VARIANTS = 40
 CONFIRM = 0.6
 SEED = 7
@@ -135,8 +136,8 @@ def template_grams() -> list[tuple[int, np.ndarray]]:
     return found
 
 
-def sampled_lines(docs: DataFrame, texts: int, lines: int) -> list[bytes]:
-    """At most ``texts`` texts chosen by a hash of their id, and ``lines`` of each by a hash of the line.
+def sampled_lines(docs: DataFrame, texts: int, lines: int, chars: int = SAMPLE_CHARS) -> list[bytes]:
+    """At most ``texts`` texts chosen by a hash of their id, and ``lines`` of each by a hash of the line, up to ``chars`` characters of a line.
 
     Only ids whose hash is below a bound set by the number of rows are sorted, about four times as many as are wanted, and only
     chosen lines leave their task, so what reaches the driver does not grow with the corpus.
@@ -146,21 +147,23 @@ def sampled_lines(docs: DataFrame, texts: int, lines: int) -> list[bytes]:
     rows = docs.filter(draw <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else (1 << 63) - 1)).select(
         draw.alias("draw"), "doc_id", F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x != "").alias("lines"))
     by_hash = F.array_sort(F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))
-    cut = rows.select("draw", "doc_id", F.transform(F.slice(by_hash, 1, lines), lambda s: F.substring(s["x"], 1, 2000)).alias("l"))
+    cut = rows.select("draw", "doc_id", F.transform(F.slice(by_hash, 1, lines), lambda s: F.substring(s["x"], 1, chars)).alias("l"))
     return [x.encode() for row in cut.orderBy("draw", "doc_id", "l").limit(texts).select("l").collect() for x in row["l"]]
 
 
-def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_lines: int = SAMPLE_LINES) -> Classifier:
+def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_lines: int = SAMPLE_LINES,
+        sample_chars: int = SAMPLE_CHARS) -> Classifier:
     """Fit on variants of the templates and on a bounded sample of the corpus's lines, which stand for "unknown".
 
-    At most ``sample_texts`` x ``sample_lines`` lines are used. Sampled lines that share most pairs with a template are left
+    At most ``sample_texts`` x ``sample_lines`` lines are used, and of a longer line its first ``sample_chars`` characters, so that
+    what reaches the driver has a bound; scoring takes whole lines. Sampled lines that share most pairs with a template are left
     out. Half of the data fits the model; on the other half a temperature is fitted and the least probability is the one that at
     most one in 500 unknown lines reaches.
     """
     spark: SparkSession = docs.sparkSession
     templates = template_grams()
     others = []
-    for line in map(plain, sampled_lines(docs, sample_texts, sample_lines)):
+    for line in map(plain, sampled_lines(docs, sample_texts, sample_lines, sample_chars)):
         own = np.unique(features([line])[0])
         if all(len(np.intersect1d(own, t, assume_unique=True)) < CONFIRM / 2 * len(t) for _, t in templates):
             others.append(line)

@@ -285,3 +285,8 @@ def test_scores_do_not_depend_on_what_is_sent(docs, bounds):
     whole, few = by_id(scores(docs)), by_id(scores(docs, *bounds))
     for i, r in whole.items():
         assert few[i].n_known == r.n_known and np.isclose(few[i].base_score, r.base_score) and np.isclose(few[i].score, r.score)
+
+
+def test_length_of_sampled_lines_is_a_parameter(spark):
+    long = spark.createDataFrame([(1, "x" * 5000)], "doc_id long, text string")
+    assert [len(x) for x in license_scan.sampled_lines(long, 5, 1, 6000)] == [5000] and [len(x) for x in license_scan.sampled_lines(long, 5, 1)] == [2000]
