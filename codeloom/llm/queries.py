@@ -18,6 +18,7 @@ from codeloom.llm.lm_score import scores
 from codeloom.llm.mixing import mixed
 from codeloom.llm.ngram_join import near_duplicates
 from codeloom.llm.quality import judged
+from codeloom.llm.spelling import variant_forms
 from codeloom.llm.substring import repeated_spans
 from codeloom.llm.token_files import token_digests
 
@@ -76,9 +77,13 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variant_forms(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_ngram_join, op3_lm_score, op4_quality, op5_line_runs, op6_license_scan, op7_mixing,
-                            op8_substring, op9_exact_dedup, op10_bpe)
+                            op8_substring, op9_exact_dedup, op10_bpe, op11_spelling_variants)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLES: dict[str, str] = {"op4_quality": oracles.QUALITY, "op5_line_runs": oracles.LINE_RUNS, "op7_mixing": oracles.MIXING,
