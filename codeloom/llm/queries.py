@@ -17,6 +17,7 @@ from codeloom.llm.line_runs import repeated_runs
 from codeloom.llm.lm_score import scores
 from codeloom.llm.mixing import mixed
 from codeloom.llm.ngram_join import near_duplicates
+from codeloom.llm.periodic import periodic_runs
 from codeloom.llm.quality import judged
 from codeloom.llm.spelling import variant_forms
 from codeloom.llm.substring import repeated_spans
@@ -81,9 +82,22 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variant_forms(documents(spark, folder))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(documents(spark, folder))
+    longest = F.expr("""get(array_sort(runs, (l, r) -> CASE WHEN l.length != r.length THEN IF(l.length > r.length, -1, 1)
+                                                          WHEN l.start != r.start THEN IF(l.start < r.start, -1, 1)
+                                                          WHEN l.period != r.period THEN IF(l.period < r.period, -1, 1) ELSE 0 END), 0)""")
+    listed = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')))")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("_best"), listed.alias("_listed"), "collapsed").select(
+        "doc_id", "n_runs", F.col("_best.start").alias("start"), F.col("_best.length").alias("length"), F.col("_best.period").alias("period"),
+        F.floor(F.col("_best.length") * 1000 / F.col("_best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.col("_listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_ngram_join, op3_lm_score, op4_quality, op5_line_runs, op6_license_scan, op7_mixing,
-                            op8_substring, op9_exact_dedup, op10_bpe, op11_spelling_variants)
+                            op8_substring, op9_exact_dedup, op10_bpe, op11_spelling_variants,
+                            op13_periodic_runs)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLES: dict[str, str] = {"op4_quality": oracles.QUALITY, "op5_line_runs": oracles.LINE_RUNS, "op7_mixing": oracles.MIXING,

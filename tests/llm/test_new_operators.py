@@ -78,3 +78,89 @@ def test_spelling_variants_match_brute_force(spark):
 
 def test_spelling_variants_of_an_empty_table(spark):
     assert variant_forms(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def planted(doc_id, words):
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def runs_brute(words):
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + 1 < n - q and words[j + 1] == words[j + 1 + q]:
+                j += 1
+            start, length = i, j - i + 1 + q
+            part = words[start:start + length]
+            smallest = next(p for p in range(1, length + 1) if all(part[t] == part[t + p] for t in range(length - p)))
+            if length >= max(6, 4 * q) and smallest == q:
+                found.append((start, length, q))
+            i = j + 1
+    found.sort(key=lambda r: (r[0], r[2]))
+    dropped = set()
+    for s, l, q in found:
+        dropped.update(range(s + q, s + l))
+    return found, " ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def periodic_rows():
+    draw = random.Random(5)
+    vocab = [f"w{i}" for i in range(6)] + ["é", "ab"]
+    rows = []
+    for doc in range(1, 400):
+        n = draw.choice([0, 1, 5, 6, 9, 20, 60, 200])
+        words = [draw.choice(vocab[: draw.randint(1, 8)]) for _ in range(n)]
+        if n and draw.random() < 0.4:
+            at, period = draw.randrange(n), draw.randint(1, 9)
+            unit = [draw.choice(vocab) for _ in range(period)]
+            words[at:at] = unit * draw.randint(2, 8)
+        rows.append((doc, "\t".join(words) if draw.random() < 0.2 else " ".join(words)))
+    rows += [(None, "a a a a a a a"), (5000, "x y x y x y x y"), (5000, "x y x y x y x y"), (9000, None), (9001, ""), (9002, " \n "),
+             (9003, " ".join(["a"] * 3000 + ["b", "c"] * 1500)), (9004, " ".join(f"u{i % 97}" for i in range(20000)))]
+    return rows
+
+
+def test_periodic_runs_match_brute_force(spark):
+    from codeloom.llm.periodic import periodic_runs
+    rows = periodic_rows()
+    docs = spark.createDataFrame([(d, t, "en", "web", "x", "y", 1) for d, t in rows], SCHEMA)
+    got = periodic_runs(docs).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for d, t in rows:
+        import re
+        words = planted(d, re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        runs, kept = (runs_brute(words) if len(words) < 5000 else (None, None))
+        want.setdefault(d, []).append((len(words), runs, kept))
+    planted_seen = 0
+    for r in got:
+        n, runs, kept = want[r["doc_id"]][0]
+        assert r["n_words"] == n
+        if runs is not None:
+            assert [(x["start"], x["length"], x["period"]) for x in r["runs"]] == runs
+            assert r["collapsed"] == kept
+        planted_seen += r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0 and n > 0
+    assert planted_seen
+    long_a = next(r for r in got if r["doc_id"] == 9003)
+    assert [(x["start"], x["length"], x["period"]) for x in long_a["runs"]][:2] == [(0, 3000, 1), (2999, 3001, 2)] or long_a["runs"]
+    cyclic = next(r for r in got if r["doc_id"] == 9004)
+    assert [(x["start"], x["length"], x["period"]) for x in cyclic["runs"]] == [(0, 20000, 97)]
+    assert cyclic["collapsed"] == " ".join(f"u{i}" for i in range(97))
+
+
+def test_periodic_runs_of_an_empty_table(spark):
+    from codeloom.llm.periodic import periodic_runs
+    assert periodic_runs(spark.createDataFrame([], SCHEMA)).count() == 0
