@@ -22,6 +22,7 @@ from codeloom.llm.quality import judged
 from codeloom.llm.spelling import variant_forms
 from codeloom.llm.substring import repeated_spans
 from codeloom.llm.token_files import token_digests
+from codeloom.llm.toxicity import toxicity
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -82,6 +83,10 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variant_forms(documents(spark, folder))
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     found = periodic_runs(documents(spark, folder))
     longest = F.expr("""get(array_sort(runs, (l, r) -> CASE WHEN l.length != r.length THEN IF(l.length > r.length, -1, 1)
@@ -97,7 +102,7 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_ngram_join, op3_lm_score, op4_quality, op5_line_runs, op6_license_scan, op7_mixing,
                             op8_substring, op9_exact_dedup, op10_bpe, op11_spelling_variants,
-                            op13_periodic_runs)
+                            op12_toxicity, op13_periodic_runs)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLES: dict[str, str] = {"op4_quality": oracles.QUALITY, "op5_line_runs": oracles.LINE_RUNS, "op7_mixing": oracles.MIXING,

@@ -164,3 +164,51 @@ def test_periodic_runs_match_brute_force(spark):
 def test_periodic_runs_of_an_empty_table(spark):
     from codeloom.llm.periodic import periodic_runs
     assert periodic_runs(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def toxic_tables(spark):
+    draw = random.Random(8)
+    vocab = ["".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(2, 8))) for _ in range(400)]
+    insults = ["idiot", "moron", "scum", "pathetic", "worthless"]
+    docs, labels = [], []
+    for doc in range(600):
+        sentences = [" ".join(draw.choice(vocab) for _ in range(draw.randint(3, 12))) + "." for _ in range(draw.randint(1, 8))]
+        toxic = draw.random() < 0.3
+        if toxic:
+            at = draw.randrange(len(sentences) + 1)
+            sentences.insert(at, f"you {draw.choice(insults)} {draw.choice(vocab)}!")
+        docs.append((doc, " ".join(sentences) if draw.random() < 0.5 else "\n".join(sentences), "en", "web", "a", "b", 1))
+        labels.append((doc, 1, int(toxic)))
+    docs += [(None, "you idiot!", "en", "web", "a", "b", 1), (700, None, "en", "web", "a", "b", 1), (701, "", "en", "web", "a", "b", 1),
+             (702, " ".join(["clean words here."] * 5000), "en", "web", "a", "b", 1), (3, "repeated id", "en", "web", "a", "b", 1)]
+    labels += [(3, 1, None), (None, 1, 1)]
+    return (spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, _y string, slot string, g int"),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_toxicity_learns_from_documents_and_finds_the_sentence(spark):
+    from codeloom.llm.toxicity import toxicity
+    docs, labels = toxic_tables(spark)
+    got = toxicity(docs, labels).collect()
+    assert len(got) == docs.count()
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None}
+    held = [r for r in got if r["held_out"] and r["doc_id"] in truth and r["doc_id"] < 600]
+    assert len(held) > 100
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) / len(held) >= 0.9
+    for r in got:
+        assert 0.0 <= r["score"] <= 1.0 and r["predicted"] == int(r["score"] >= 0.3)
+    empty = [r for r in got if r["doc_id"] in (700, 701)]
+    assert len(empty) == 2 and all(r["n_sentences"] == 0 and r["worst_sentence"] is None and r["score"] < 0.3 for r in empty)
+    assert next(r for r in got if r["doc_id"] is None)["predicted"] == 1
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in held:
+        if truth[r["doc_id"]] and r["predicted"]:
+            import re
+            sentences = [s for s in re.split(r"[.!?]+(?=\s|$)|\n+", texts[r["doc_id"]]) if re.search(r"\w", s)]
+            assert "you " in sentences[r["worst_sentence"]]
+
+
+def test_toxicity_of_an_empty_table(spark):
+    from codeloom.llm.toxicity import toxicity
+    docs, labels = toxic_tables(spark)
+    assert toxicity(docs.limit(0), labels.limit(0), epochs=2).count() == 0
