@@ -26,13 +26,13 @@ RUN = "struct<start:long, length:long, period:long>"
 SCHEMA = f"doc_id long, n_words long, runs array<{RUN}>, collapsed string"
 
 
-def planted_words(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """The words of the text after the planted repetition of the contract (null text: no words; null id: unchanged).
+def planted_words(words: Column, doc_id: str = "doc_id") -> Column:
+    """The words after the planted repetition of the contract (null id: unchanged).
 
     h = crc32(decimal doc_id), g = h div 10. If h mod 10 = 0 and n > 0, word i >= a becomes word a + (i - a) mod p,
-    with a = g mod n and p = 1 + (n - a) div (3 + g mod 8).
+    with a = g mod n and p = 1 + (n - a) div (3 + g mod 8). ``words`` should be a column of its own: the lambda
+    reads it once a word, and an expression in its place would be evaluated that often.
     """
-    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), 0)
     h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
     g = F.floor(h / 10)
     n = F.size(words)
@@ -119,6 +119,8 @@ def runs_of(ids: np.ndarray) -> list[tuple[int, int, int]]:
         ranks = window_ranks(ids, k, doubled)
         order = np.lexsort((np.arange(len(ranks)), ranks))
         same = ranks[order[1:]] == ranks[order[:-1]]
+        if not same.any():  # no window of k words recurs, so no longer one does: no run of a larger period is left
+            break
         here, there = order[:-1][same], order[1:][same]
         lag = there - here
         keep = (lag >= low) & (lag <= high)
@@ -178,5 +180,7 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
     after its first q words, and ``collapsed`` is the kept words joined by one space (empty when none). Every row gives
     one row, in place, so null and repeated ids, empty tables and other columns (whatever their names) need no care.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), planted_words().alias("words"))
+    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD), 0)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("_words"))
+    rows = rows.select("doc_id", planted_words(F.col("_words")).alias("words"))
     return rows.mapInArrow(runs_in_arrow, SCHEMA)
