@@ -4,8 +4,9 @@ Each sentence s gets p_s = sigmoid(b + sum of the weights of its hashed words);
 shows. The document's probability is P = 1 - (1 - p_0) * prod_s (1 - p_s). Only document labels are known: the weights
 are fitted to them by full-batch Adam on the log loss of P, whose gradient on a sentence's logit is p_s * (1 - y / P)
 (and p_0 * (1 - y / P) on the leak). Every epoch is one Spark job: tasks compute the gradient of their documents
-against the broadcast weights and one aggregate by slot sums them; the weights have a fixed number of slots, so what
-the driver and every task hold is bounded whatever the corpus. Scoring is a map over all rows with the same broadcast,
+against the broadcast weights and returns it as one dense vector, which the driver adds up; the weights have a fixed
+number of slots and the fitting rows a documented bound (so a bounded number of tasks), so what the driver and every
+task hold is bounded whatever the corpus, and no epoch writes shuffle files. Scoring is a map over all rows with the same broadcast,
 no shuffle; it also names the sentences that carry the score.
 """
 
@@ -100,9 +101,7 @@ def gradient_rows(shared, slots: int):
                     grad[-2] += g.sum()
                 grad[-1] += factor / (1.0 + np.exp(-weights[-1]))
                 loss -= np.log(big_p) if y else np.log(max(1.0 - big_p, 1e-12))
-        used = np.flatnonzero(grad)
-        yield pa.RecordBatch.from_pydict({"slot": np.append(used, -1), "g": np.append(grad[used], loss)},
-                                         schema=pa.schema([("slot", pa.int64()), ("g", pa.float64())]))
+        yield pa.RecordBatch.from_pydict({"g": [np.append(grad, loss).astype("<f8").tobytes()]}, schema=pa.schema([("g", pa.binary())]))
     return run
 
 
@@ -137,12 +136,13 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, epochs: int = EP
     n = max(table.count(), 1)
     for epoch in range(1, epochs + 1):
         shared = spark.sparkContext.broadcast(weights)
-        summed = (table.mapInArrow(gradient_rows(shared, slots), "slot long, g double")
-                  .groupBy("slot").agg(F.sum("g").alias("g")).toPandas())
+        # one dense gradient a task, summed on the driver: a bounded number of slots, and nothing written to disk
+        parts = table.mapInArrow(gradient_rows(shared, slots), "g binary").toArrow().column("g").to_pylist()
         shared.unpersist()
-        grad = np.zeros_like(weights)
-        parts = summed[summed["slot"] >= 0]
-        grad[parts["slot"].to_numpy()] = parts["g"].to_numpy()
+        grad = np.zeros(slots + 3)
+        for part in parts:
+            grad += np.frombuffer(part, dtype="<f8")
+        grad = grad[:-1]
         grad = grad / n + penalty * np.concatenate([weights[:slots], [0.0, 0.0]])
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
