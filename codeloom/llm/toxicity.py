@@ -84,23 +84,41 @@ def fit_rows(slots: int):
     return run
 
 
+def flat_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and row offsets (from 0) of a list column, read from its Arrow buffers without Python objects."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
+
+
 def gradient_rows(shared, slots: int):
+    """Gradient of a task's documents, whole batches at a time: sentence sums by cumulative differences, documents by bincount."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
+        leak = 1.0 / (1.0 + np.exp(-weights[-1]))
         grad = np.zeros(slots + 2)
         loss = 0.0
         for batch in batches:
-            for y, found, begins in zip(batch.column("_y").to_pylist(), batch.column("_slots").to_pylist(), batch.column("_starts").to_pylist()):
-                found, begins = np.asarray(found, dtype=np.int64), np.asarray(begins, dtype=np.int64)
-                p = probabilities(weights, found, begins)
-                big_p = max(document_probability(weights, p), 1e-12)
-                factor = 1.0 - y / big_p
-                g = p * factor
-                if len(g):
-                    grad[:slots] += np.bincount(found, weights=np.repeat(g, np.diff(begins)), minlength=slots)
-                    grad[-2] += g.sum()
-                grad[-1] += factor / (1.0 + np.exp(-weights[-1]))
-                loss -= np.log(big_p) if y else np.log(max(1.0 - big_p, 1e-12))
+            if not batch.num_rows:
+                continue
+            y = batch.column("_y").to_numpy(zero_copy_only=False).astype(np.float64)
+            found, found_at = flat_lists(batch.column("_slots"))
+            starts, starts_at = flat_lists(batch.column("_starts"))
+            docs = len(y)
+            owner = np.repeat(np.arange(docs), np.diff(starts_at))
+            bounds = starts + found_at[owner]  # sentence bounds within the batch's slots
+            last = np.zeros(len(starts), dtype=bool)
+            last[starts_at[1:] - 1] = True
+            begin, end, sentence_doc = bounds[~last], bounds[np.flatnonzero(~last) + 1], owner[~last]
+            total = np.concatenate([[0.0], np.cumsum(weights[found])])
+            p = 1.0 / (1.0 + np.exp(-np.clip(total[end] - total[begin] + weights[-2], -40, 40)))
+            log_q = np.log1p(-leak) + np.bincount(sentence_doc, weights=np.log1p(-np.minimum(p, 1 - 1e-15)), minlength=docs)
+            big_p = np.maximum(-np.expm1(log_q), 1e-12)
+            factor = 1.0 - y / big_p
+            g = p * factor[sentence_doc]
+            grad[:slots] += np.bincount(found, weights=np.repeat(g, end - begin), minlength=slots)
+            grad[-2] += g.sum()
+            grad[-1] += (factor * leak).sum()
+            loss -= float(np.sum(np.where(y > 0, np.log(big_p), np.log(np.maximum(1.0 - big_p, 1e-12)))))
         yield pa.RecordBatch.from_pydict({"g": [np.append(grad, loss).astype("<f8").tobytes()]}, schema=pa.schema([("g", pa.binary())]))
     return run
 
