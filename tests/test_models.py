@@ -148,3 +148,21 @@ def test_registered_classifiers_run_the_full_configuration(monkeypatch):
     config = CodingConfig()
     assert seen[:2] == [(config.folds_industry, config, 5, config.search_trials_industry)] * 2
     assert seen[2:] == [(n, {}) for n in (learning.classifiers.SGD, learning.classifiers.LOGISTIC, learning.classifiers.SVC, learning.classifiers.FOREST)]
+
+
+def test_terms_are_not_shuffled_once_documents_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(features, "TASK_CHARS", 16)
+    rows = spark.createDataFrame([(str(i), d, "x", float(i), 2) for i, d in enumerate(DOCS)], "id string, doc string, cat string, num double, copies bigint")
+    plan = features.fit_features(rows, ("cat",), ("num",), CodingConfig(word_min_count=1, char_min_count=1, doc_prop_max=1.0))
+    weights = plan.all_blocks(rows)
+    slots = features.slot_table(weights)
+    for vectors in (features.indexed_vectors(weights, slots, slots.count()), features.hashed_vectors(plan.text_weights(rows), 16)):
+        shuffles = [line for line in vectors._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(" in line]
+        assert shuffles and all("REPARTITION_BY_NUM" in line for line in shuffles)
+        assert vectors.count() == len(DOCS)
+
+
+def test_term_counts_join_rows_of_one_id(spark):
+    df = spark.createDataFrame([("a", "nurse icu", 1), ("a", "nurse", 3), (None, "cook", 1), (None, "cook", 1)], "id string, doc string, copies bigint")
+    found = {(r["id"], r["term"]): (r["tf"], r["copies"]) for r in features.term_counts(df, features.WORD, tasks=5).collect()}
+    assert found == {("a", "nurse"): (2, 3), ("a", "icu"): (1, 1), ("a", "nurse icu"): (1, 1), (None, "cook"): (2, 1)}
