@@ -1,6 +1,7 @@
 """Toxicity by multiple-instance learning: a document is toxic if any of its sentences is, combined by noisy-or.
 
-Each sentence s gets p_s = sigmoid(b + sum of the weights of its hashed words); a leak p_0 covers what no sentence
+Each sentence s gets p_s = sigmoid(b + sum of the weights of its hashed words and of the words' first 4 and 5
+characters, so that an inflected form that no fitting row has is known by its stem); a leak p_0 covers what no sentence
 shows. The document's probability is P = 1 - (1 - p_0) * prod_s (1 - p_s). Only document labels are known: the weights
 are fitted to them by full-batch Adam on the log loss of P, whose gradient on a sentence's logit is p_s * (1 - y / P)
 (and p_0 * (1 - y / P) on the leak). Every epoch is one Spark job: tasks compute the gradient of their documents
@@ -12,17 +13,20 @@ no shuffle; it also names the sentences that carry the score.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codeloom.llm.words import pieces
 from codeloom.session import stage
 
+PIECE = 16 * 1024 * 1024  # bytes of text that a task reads at once
 SLOTS = 1 << 18
 EPOCHS = 40
 RATE = 0.3
@@ -31,56 +35,77 @@ MAX_TRAIN_DOCS = 200_000  # documented bound on labelled rows used for fitting,
 THRESHOLD = 0.3
 HELD_OUT = 2  # crc32(doc_id as text) mod 4 of the rows kept out of fitting
 
-SENTENCE_END = re.compile(r"[.!?]+(?=\s|$)|\n+")
-WORD = re.compile(r"\w+")
+SENTENCE_END = r"[.!?]+[\s\v\x1c-\x1f\x{85}\pZ]+|[.!?]+$|\n+"  # in the form of Arrow's patterns
+NO_WORD = r"[^\pL\pN_]+"
+STEMS = (4, 5)  # leading characters of longer words that are features of their own
 SCORED = ("doc_id long, n_sentences long, score double, worst_sentence long, worst_probability double, "
           "flagged array<long>")
 
 
-def sentence_slots(text: str | None, cache: dict[str, int], slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
-    """Word slots of each sentence (distinct within it) and where each sentence starts; sentences without words are left out."""
-    starts, found = [0], []
-    for sentence in SENTENCE_END.split(text or ""):
-        words = WORD.findall(sentence.lower())
-        if not words:
-            continue
-        ids = set()
-        for word in words:
-            slot = cache.get(word)
-            if slot is None:
-                slot = cache[word] = zlib.crc32(word.encode()) % slots
-            ids.add(slot)
-        found.extend(ids)
-        starts.append(len(found))
-    return np.asarray(found, dtype=np.int64), np.asarray(starts, dtype=np.int64)
+def hashed(parts: pa.Array, slots: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(part.encode()) % slots for part in parts.to_pylist()), dtype=np.int64, count=len(parts))
 
 
-def probabilities(weights: np.ndarray, found: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """p_s of each sentence: weights[-2] is the sentence bias; the sum over a sentence is a cumulative difference."""
-    if len(starts) < 2:
-        return np.zeros(0)
-    total = np.concatenate([[0.0], np.cumsum(weights[found])])
-    logits = total[starts[1:]] - total[starts[:-1]] + weights[-2]
-    return 1.0 / (1.0 + np.exp(-np.clip(logits, -40, 40)))
+@dataclass
+class Sentences:
+    """The sentences with words of a batch of texts: whose they are, their distinct words, and the slots of each word."""
+    count: np.ndarray   # sentences of each text
+    starts: np.ndarray  # where each sentence's words start, and their number
+    words: np.ndarray   # each sentence's distinct words, as rows of ``table``
+    table: np.ndarray   # a row for each different word of the batch: the slots of the word and of its stems, -1 where it has none
 
 
-def document_probability(weights: np.ndarray, p: np.ndarray) -> float:
-    leak = 1.0 / (1.0 + np.exp(-weights[-1]))
-    return float(-np.expm1(np.log1p(-leak) + np.log1p(-np.minimum(p, 1 - 1e-15)).sum()))
+def word_table(vocabulary: pa.Array, slots: int) -> np.ndarray:
+    columns = [hashed(vocabulary, slots)]
+    length = pc.utf8_length(vocabulary).to_numpy(zero_copy_only=False)
+    for n in STEMS:  # the mark keeps a stem apart from a word of the same characters
+        stems = pc.utf8_slice_codeunits(vocabulary, 0, n).dictionary_encode()
+        own = hashed(pc.binary_join_element_wise(stems.dictionary, "*", ""), slots)
+        columns.append(np.where(length > n, own[stems.indices.to_numpy()], -1) if len(vocabulary) else columns[0])
+    return np.stack(columns, axis=1)
+
+
+def read_sentences(texts: pa.Array, slots: int) -> Sentences:
+    split = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), SENTENCE_END)
+    split_words = pc.split_pattern_regex(split.flatten(), NO_WORD)
+    words = split_words.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(split_words)), np.diff(split_words.offsets.to_numpy()))
+    vocabulary = words.dictionary
+    found = words.indices.to_numpy().astype(np.int64)
+    some = pc.not_equal(vocabulary, "").to_numpy(zero_copy_only=False)[found] if len(vocabulary) else np.zeros(0, dtype=bool)
+    pairs = np.sort((owner[some] << 32) | found[some])
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
+    sentence, word = pairs >> 32, pairs & 0xFFFFFFFF
+    head = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1])) if len(pairs) else np.zeros(0, dtype=np.int64)
+    text = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))[sentence[head]]
+    return Sentences(np.bincount(text, minlength=len(texts)), np.append(head, len(pairs)), word, word_table(vocabulary, slots))
+
+
+def sentence_logits(weights: np.ndarray, found: Sentences) -> np.ndarray:
+    """weights[-2] is the bias of a sentence; a word weighs what its slots weigh together."""
+    own = np.where(found.table >= 0, weights[found.table], 0.0).sum(axis=1)
+    # summed by sentence, so that equal sentences weigh exactly the same
+    return (np.add.reduceat(own[found.words], found.starts[:-1]) if len(found.words) else np.zeros(0)) + weights[-2]
+
+
+def list_column(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
 
 
 def fit_rows(slots: int):
+    """Label, the slots of each sentence's distinct words, and where each sentence starts among them (from 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, int] = {}
-        for batch in batches:
-            labels, words, starts = [], [], []
-            for y, text in zip(batch.column("_y").to_pylist(), batch.column("text").to_pylist()):
-                found, begins = sentence_slots(text, cache, slots)
-                labels.append(y)
-                words.append(found.tolist())
-                starts.append(begins.tolist())
-            yield pa.RecordBatch.from_pydict({"_y": labels, "_slots": words, "_starts": starts},
-                                             schema=pa.schema([("_y", pa.int32()), ("_slots", pa.list_(pa.int64())), ("_starts", pa.list_(pa.int64()))]))
+        for batch in pieces(batches, "text", PIECE):
+            found = read_sentences(batch.column("text"), slots)
+            rows = found.table[found.words]
+            used = rows >= 0
+            ends = np.append(0, np.cumsum(used.sum(axis=1)))[found.starts]  # of sentences, among the slots
+            last = np.append(0, np.cumsum(found.count))  # of texts, among the sentences
+            begins = ends[last[:-1]]
+            starts = np.insert(ends[1:] - np.repeat(begins, found.count), last[:-1], 0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_y"), list_column(rows[used].astype(np.int32), ends[last[1:]] - begins),
+                 list_column(starts.astype(np.int32), found.count + 1)], names=["_y", "_slots", "_starts"])
     return run
 
 
@@ -146,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, epochs: int = EP
     """Weights of the word slots, then the sentence bias and the leak logit (``slots + 2`` numbers)."""
     spark = docs.sparkSession
     rows = training_rows(docs, labels, max_docs)
-    table = stage(rows.select(F.col("_y").cast("int").alias("_y"), "text").mapInArrow(fit_rows(slots), "_y int, _slots array<long>, _starts array<long>"),
+    table = stage(rows.select(F.col("_y").cast("int").alias("_y"), "text").mapInArrow(fit_rows(slots), "_y int, _slots array<int>, _starts array<int>"),
                   "toxic-train")
     weights = np.zeros(slots + 2)
     weights[-2], weights[-1] = -4.0, -2.0
@@ -169,24 +194,29 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, epochs: int = EP
 
 
 def score_rows(shared, slots: int, threshold: float):
+    """Scores of whole batches: sentences by the sums of their words, documents by bincounts over their sentences."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
-        cache: dict[str, int] = {}
-        for batch in batches:
-            out = {"doc_id": [], "n_sentences": [], "score": [], "worst_sentence": [], "worst_probability": [], "flagged": []}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                found, begins = sentence_slots(text, cache, slots)
-                p = probabilities(weights, found, begins)
-                out["doc_id"].append(doc_id)
-                out["n_sentences"].append(len(p))
-                out["score"].append(document_probability(weights, p))
-                worst = int(np.argmax(p)) if len(p) else None
-                out["worst_sentence"].append(worst)
-                out["worst_probability"].append(float(p[worst]) if worst is not None else None)
-                out["flagged"].append(np.flatnonzero(p >= threshold).tolist())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("score", pa.float64()), ("worst_sentence", pa.int64()),
-                ("worst_probability", pa.float64()), ("flagged", pa.list_(pa.int64()))]))
+        leak = 1.0 / (1.0 + np.exp(-weights[-1]))
+        for batch in pieces(batches, "text", PIECE):
+            docs = batch.num_rows
+            found = read_sentences(batch.column("text"), slots)
+            count, ends = found.count, np.cumsum(found.count)
+            p = 1.0 / (1.0 + np.exp(-np.clip(sentence_logits(weights, found), -40, 40)))
+            owner = np.repeat(np.arange(docs), count)
+            position = np.arange(len(p)) - np.repeat(ends - count, count)
+            log_q = np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-15)), minlength=docs)
+            score = -np.expm1(np.log1p(-leak) + log_q)
+            order = np.lexsort((position, -p, owner))
+            worst = order[(ends - count)[count > 0]]  # the first of the largest
+            none = count == 0
+            worst_position, worst_p = np.zeros(docs, dtype=np.int64), np.zeros(docs)
+            worst_position[~none], worst_p[~none] = position[worst], p[worst]
+            flagged = p >= threshold
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(count), pa.array(score), pa.array(worst_position, mask=none), pa.array(worst_p, mask=none),
+                 list_column(position[flagged], np.bincount(owner[flagged], minlength=docs))],
+                names=["doc_id", "n_sentences", "score", "worst_sentence", "worst_probability", "flagged"])
     return run
 
 
@@ -196,7 +226,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, epochs: int
 
     score is P in [0, 1]; a text without words (null, empty, blanks) scores the leak p_0. predicted is 1 when
     score >= ``threshold``. Sentences end at runs of . ! ? before white space or the end, and at line breaks; words
-    are ``\\w+`` lower-cased. worst_sentence numbers the sentence of largest p_s (from 0, sentences with words only;
+    are runs of letters, digits and ``_``, lower-cased. worst_sentence numbers the sentence of largest p_s (from 0, sentences with words only;
     null when there is none), flagged lists those with p_s >= threshold. Only the text is an input of a score; labels
     of held-out rows (crc32(doc_id) mod 4 = 2) are never read. Repeated and null ids are scored as rows of their own;
     other columns are ignored, whatever their names. An empty table gives no rows (and the fit starts from the prior).

@@ -212,3 +212,24 @@ def test_toxicity_of_an_empty_table(spark):
     from codeloom.llm.toxicity import toxicity
     docs, labels = toxic_tables(spark)
     assert toxicity(docs.limit(0), labels.limit(0), epochs=2).count() == 0
+
+
+def test_toxicity_knows_inflected_forms_that_no_fitting_row_has(spark):
+    from codeloom.llm.toxicity import toxicity
+    draw = random.Random(9)
+    syllables = ["ra", "ne", "to", "li", "su", "ka", "mo", "vi"]
+    plain = lambda: "".join(draw.choice(syllables) for _ in range(2))
+    docs, labels = [], []
+    for doc in range(600):
+        words = [plain() for _ in range(30)]
+        toxic = doc % 4 == 0
+        if toxic:
+            words[draw.randrange(30)] = draw.choice(["zwerg", "quast"]) + f"en{doc}"  # every form occurs once
+        docs.append((doc, " ".join(words) + "."))
+        labels.append((doc, int(toxic)))
+    got = toxicity(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [(r["score"], r["doc_id"] % 4 == 0) for r in got if r["held_out"]]
+    worst_toxic = sorted(s for s, toxic in held if toxic)
+    clean = sorted(s for s, toxic in held if not toxic)
+    assert len(worst_toxic) > 20
+    assert sum(s > clean[int(0.9 * len(clean))] for s in worst_toxic) >= 0.9 * len(worst_toxic)
