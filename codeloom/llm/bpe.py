@@ -13,6 +13,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,8 @@ class WordIds:
         self.tokenizer, self.limit = open_tokenizer(path), limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut, self.model = simple_cut(self.tokenizer), self.tokenizer.model
+        # a word of ASCII letters alone is one piece of either kind's pattern, unless a special token may lie in it
+        self.letters = not any(s.isalpha() for s in self.special)
         char = {b: c for c, b in byte_of_char().items()}
         self.table = {i: "".join(char[b] for b in chr(i).encode()) for i in range(256)}
         self.base = (words, flat, sizes)
@@ -95,10 +98,13 @@ class WordIds:
         if self.cut:
             lower, pattern = self.cut
             special = re.compile("|".join(map(re.escape, self.special)) or "(?!)").search
+            tokenize, letters = self.model.tokenize, self.letters
             for i, word in enumerate(words):
-                if SIMPLE.fullmatch(word) and not special(word):
+                if letters and word.isascii() and word.isalpha():
+                    found[i] = [t.id for t in tokenize(word.lower() if lower else word)]
+                elif SIMPLE.fullmatch(word) and not special(word):
                     found[i] = [t.id for piece in pattern.findall(word.lower() if lower else word)
-                                for t in self.model.tokenize(piece if piece.isascii() and piece.isalnum() else piece.translate(self.table))]
+                                for t in tokenize(piece if piece.isascii() and piece.isalnum() else piece.translate(self.table))]
         rest = [i for i, ids in enumerate(found) if ids is None]
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
             found[i] = e.ids
@@ -106,8 +112,7 @@ class WordIds:
         return np.fromiter((i for x in found for i in x), dtype=np.int32, count=int(sizes.sum())), sizes
 
     def look(self, words: list[str]) -> np.ndarray:
-        get = self.slot.get
-        slots = np.array([get(w, -1) for w in words], dtype=np.int64)
+        slots = np.fromiter(map(self.slot.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         missing = np.flatnonzero(slots < 0)
         if len(missing):
             if len(self.slot) > len(self.base[0]) + self.limit:
@@ -123,7 +128,7 @@ class WordIds:
 
     def ids(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and where each text starts (one place more than texts)."""
-        slots = self.look([w for words in texts for w in words])
+        slots = self.look(list(chain.from_iterable(texts)))
         size = self.size[slots]
         after = np.cumsum(size)
         total = int(after[-1]) if len(after) else 0
